@@ -25,9 +25,9 @@ def _(t: Tables):
 # One page per order. Facts as a two-column list; a technical sheet where has_info is 1,
 # with a price tag on some; units as blocks on even orders, as a table on odd ones.
 DETAIL = cte("v_text", "v_unit") + """, u as (
- select l_orderkey, array_join(transform(array_sort(collect_list(struct(l_linenumber, blk))), x -> x.blk), '') as blocks,
-  array_join(transform(array_sort(collect_list(struct(l_linenumber, tr))), x -> x.tr), '') as trs
- from (select l_orderkey, l_linenumber,
+ select l_orderkey, array_join(transform(array_sort(collect_list(struct(l_linenumber, precio_txt, const_txt, tipo_txt, blk))), x -> x.blk), '') as blocks,
+  array_join(transform(array_sort(collect_list(struct(l_linenumber, precio_txt, const_txt, tipo_txt, tr))), x -> x.tr), '') as trs
+ from (select l_orderkey, l_linenumber, precio_txt, const_txt, tipo_txt,
   concat('<li class="proyect_units_list_item"><div class="unit_item"><span>Hab/Amb:</span><span> ', hab_txt,
    '</span></div><div class="unit_item"><span>Precio:</span><span>', precio_txt, '</span></div></li>') as blk,
   concat('<tr><td>', const_txt, '</td><td>', priv_txt, '<td>', tipo_txt, '</td><td>', hab_txt, '</td><td>', banos_txt,
@@ -51,7 +51,8 @@ from v_text left join u on o_orderkey = l_orderkey"""
 
 
 def detail(t: Tables):
-    return t.sql(DETAIL)
+    """Parsing a page costs far more than moving it, so pages are spread over all tasks."""
+    return t.sql(DETAIL).repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 @query("page_facts", cte("v_text") + """
@@ -65,7 +66,7 @@ def _(t: Tables):
 
 
 @query("page_units", cte("v_unit") + """, n as (
- select *, cast(row_number() over (partition by l_orderkey order by l_linenumber) - 1 as int) as unit from v_unit)
+ select *, cast(row_number() over (partition by l_orderkey order by l_linenumber, precio_txt, const_txt, tipo_txt) - 1 as int) as unit from v_unit)
 select l_orderkey as page_id, unit, false as from_table, k as "key", case k when 'Precio' then precio_txt else hab_txt end as value
 from n, (values ('Precio'), ('Hab/Amb')) v(k) where l_orderkey % 2 = 0
 union all select l_orderkey, unit, true, k, case k when 'area_construida' then const_txt when 'area_privada' then priv_txt
@@ -123,11 +124,11 @@ def _located(t: Tables):
     return t.sql(cte("v_text") + REQUESTS), points
 
 
-@query("page_record", cte("v_text") + """
+@query("page_record", cte("v_text", "v_unit") + """
 select o_orderkey as page_id, '2025-05-01' as fecha, url, titulo,
  case when has_info = 1 then constructor else 'No disponible' end as constructor,
  concat('{"Estrato":"', estrato, '","Pisos":"', pisos, '"}') as item,
- case when has_info = 1 and o_orderkey % 13 = 0 then estado else '' end as sheet_estado,
+ case when has_info = 1 and o_orderkey not in (select l_orderkey from v_unit) then estado else '' end as sheet_estado,
  concat('Calle ', estrato) as direccion_principal, concat('Barrio ', estado) as direccion_asociadas,
  cast(null as varchar) as error from v_text""")
 def _(t: Tables):

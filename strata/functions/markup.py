@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import cache
 from html.parser import HTMLParser
 
 # Elements that never have an end tag.
@@ -12,32 +13,37 @@ VOID = frozenset(
 SELF_CLOSING = frozenset(("p", "li", "tr", "td", "th", "option"))
 
 
-class Node:
-    """One element: tag, attributes, and children that are nodes or text."""
+@cache
+def _parts(selector: str) -> tuple[str, frozenset[str], str]:
+    """(tag, classes, what follows) of ``tag.class.class rest``."""
+    first, _, rest = selector.partition(" ")
+    tag, *classes = first.split(".")
+    return tag, frozenset(classes), rest
+
 
-    __slots__ = ("tag", "attrs", "children")
+class Node:
+    """One element: tag, attributes, and children that are nodes or text.
 
-    def __init__(self, tag: str, attrs: dict[str, str | None]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+    ``page`` lists all elements in document order; those from ``start`` to ``end`` are
+    the descendants.
+    """
 
-    def walk(self):
-        """Descendants in document order."""
-        stack = [c for c in reversed(self.children) if isinstance(c, Node)]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    __slots__ = ("tag", "attrs", "classes", "children", "page", "start", "end")
 
-    def matches(self, selector: str) -> bool:
-        """``tag.class.class``, any part of which may be missing."""
-        tag, *classes = selector.split(".")
-        own = (self.attrs.get("class") or "").split()
-        return (not tag or tag == self.tag) and all(c in own for c in classes)
+    def __init__(self, tag: str, attrs: dict[str, str | None], page: list["Node"]):
+        self.tag, self.attrs, self.children, self.page = tag, attrs, [], page
+        self.classes = frozenset((attrs.get("class") or "").split())
+        self.start, self.end = len(page) + 1, None
+        page.append(self)
 
     def all(self, selector: str) -> list["Node"]:
-        """Descendants that match; ``outer inner`` looks below the first outer match."""
-        first, _, rest = selector.partition(" ")
-        found = [n for n in self.walk() if n.matches(first)]
+        """Descendants that match ``tag.class.class``, any part of which may be missing;
+        ``outer inner`` looks below the first outer match."""
+        tag, classes, rest = _parts(selector)
+        found = [
+            n for n in self.page[self.start:self.end]
+            if (not tag or n.tag == tag) and classes <= n.classes
+        ]
         if not rest:
             return found
         return found[0].all(rest) if found else []
@@ -59,25 +65,34 @@ class Node:
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open = [Node("", {})]
+        self.page: list[Node] = []
+        self.open = [Node("", {}, self.page)]
+
+    def _close(self, depth: int) -> None:
+        for node in self.open[depth:]:
+            node.end = len(self.page)
+        del self.open[depth:]
 
     def handle_starttag(self, tag, attrs):
         if tag in SELF_CLOSING and self.open[-1].tag == tag:
-            self.open.pop()
-        node = Node(tag, dict(attrs))
-        self.open[-1].children.append(node)
-        if tag not in VOID:
-            self.open.append(node)
+            self._close(-1)
+        parent = self.open[-1]
+        node = Node(tag, dict(attrs), self.page)
+        parent.children.append(node)
+        self.open.append(node)
+        if tag in VOID:
+            self._close(-1)
 
     def handle_startendtag(self, tag, attrs):
-        self.open[-1].children.append(Node(tag, dict(attrs)))
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self._close(-1)
 
     def handle_endtag(self, tag):
         # An end tag closes up to its own start; one without a start is ignored.
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag == tag:
-                del self.open[depth:]
-                return
+                return self._close(depth)
 
     def handle_data(self, data):
         self.open[-1].children.append(data)
@@ -87,4 +102,6 @@ def tree(html: str) -> Node:
     builder = _Builder()
     builder.feed(html)
     builder.close()
-    return builder.open[0]
+    root = builder.open[0]
+    builder._close(0)
+    return root

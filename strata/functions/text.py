@@ -21,7 +21,7 @@ MAIL_DATE = "dd/MM/yyyy"
 def _es_co_number(c: Column) -> Column:
     whole = F.regexp_replace(F.regexp_extract(c, ES_CO_NUMBER, 1), r"\.", "")
     part = F.regexp_extract(c, ES_CO_NUMBER, 2)
-    return F.concat(whole, F.lit("."), part, F.lit("0")).try_cast("double")
+    return F.when(whole != "", F.concat(whole, F.lit("."), part, F.lit("0")).try_cast("double"))
 
 
 def parse_price(c: Column, mode: str = "reference") -> Column:

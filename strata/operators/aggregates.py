@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from strata.config import DEFAULTS, POI_CATEGORIES
 from strata.operators.projection import quoted
 from strata.operators.quantiles import group_quantiles
+from strata.plans.sizing import materialize
 
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
@@ -32,16 +33,17 @@ def pivot_counts(
 
 def group_summary(
     df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column], order_by: Sequence[Column] = (),
-    medians: Mapping[str, str] | None = None,
+    medians: Mapping[str, str] | None = None, written: bool = False,
 ) -> DataFrame:
     """Grouped aggregates, optionally with exact medians ``{name: column}``, sorted.
+    ``written`` as for quantiles.
 
     Averages and the like combine before the shuffle. Medians run apart, see
     ``quantiles``, and are joined back one row per group.
     """
     out = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
     for name, column in (medians or {}).items():
-        found = group_quantiles(df, keys, column, [0.5], [name])
+        found = group_quantiles(df, keys, column, [0.5], [name], written=written)
         found = found.select(*[F.col(k).alias(f"_m_{k}") for k in keys], name)
         on = [out[k].eqNullSafe(found[f"_m_{k}"]) for k in keys]
         out = out.join(found, on, "left").drop(*[f"_m_{k}" for k in keys])
@@ -67,12 +69,12 @@ STATISTICS = ("mean", "median", "std", "min", "max", "q25", "q75")
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, stat, value) with sample deviation and exact quartiles."""
-    pairs = _long(df, columns, "double")
+    pairs = materialize(_long(df, columns, "double"))
     moments = pairs.groupBy("column").agg(
         F.avg("value").alias("mean"), F.stddev("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
     )
-    quartiles = group_quantiles(pairs, ["column"], "value", [0.25, 0.5, 0.75], ["q25", "median", "q75"])
+    quartiles = group_quantiles(pairs, ["column"], "value", [0.25, 0.5, 0.75], ["q25", "median", "q75"], written=True)
     wide = moments.join(quartiles, "column", "left")
     return wide.unpivot(["column"], list(STATISTICS), "stat", "value")
 

@@ -14,7 +14,7 @@ from strata.operators.aggregates import distinct_rows
 from strata.operators.filters import drop_nulls, in_range, iqr_filter
 from strata.operators.ids import assign_ids
 from strata.operators.projection import quoted, select_existing
-from strata.plans.sizing import broadcast_if_small
+from strata.plans.sizing import broadcast_if_small, materialize
 
 
 def _ratio(over: str, under: str) -> Column:
@@ -86,8 +86,11 @@ def gold_dataset(
 
 
 def gold_features(df: DataFrame, target: str = "precio", k: float = DEFAULTS.iqr_factor, **bounds) -> DataFrame:
-    """Data set, derived columns, price outliers removed."""
-    return iqr_filter(engineer(gold_dataset(df, **bounds)), target, k)
+    """Data set, derived columns, price outliers removed.
+
+    Quartiles and filter both read the data set, so it is written once between.
+    """
+    return iqr_filter(engineer(materialize(gold_dataset(df, **bounds))), target, k, written=True)
 
 
 def label_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:

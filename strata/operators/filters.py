@@ -34,22 +34,24 @@ def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     return df.dropna(subset=list(subset) if subset is not None else None)
 
 
-def iqr_bounds(df: DataFrame, column: str, k: float = DEFAULTS.iqr_factor) -> tuple[float, float] | None:
+def iqr_bounds(
+    df: DataFrame, column: str, k: float = DEFAULTS.iqr_factor, written: bool = False
+) -> tuple[float, float] | None:
     """(Q1 - k*IQR, Q3 + k*IQR) with linear quantiles, or None when there is no value."""
-    found = quantile_row(df, column, [0.25, 0.75])
+    found = quantile_row(df, column, [0.25, 0.75], written)
     if found is None:
         return None
     q1, q3 = found
     return q1 - k * (q3 - q1), q3 + k * (q3 - q1)
 
 
-def iqr_filter(df: DataFrame, column: str, k: float = DEFAULTS.iqr_factor) -> DataFrame:
-    """Keep rows within the quartile fences, inclusive.
+def iqr_filter(df: DataFrame, column: str, k: float = DEFAULTS.iqr_factor, written: bool = False) -> DataFrame:
+    """Keep rows within the quartile fences, inclusive. ``written`` as for quantiles.
 
     The fences are two numbers, so they come back as literals: the filter is then
     pushed to the scan and needs no join.
     """
-    bounds = iqr_bounds(df, column, k)
+    bounds = iqr_bounds(df, column, k, written)
     if bounds is None:
         return df.filter(F.lit(False))
     return df.filter(quoted(column).between(*bounds))

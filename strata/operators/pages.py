@@ -120,7 +120,8 @@ def content_of(selectors: Mapping[str, str] = SELECTORS):
     def page_content(html: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([_content(h, selectors) for h in html])
 
-    return page_content
+    # So that no filter inferred from its result runs it a second time.
+    return page_content.asNondeterministic()
 
 
 def cards_of(selectors: Mapping[str, str] = SELECTORS):
@@ -142,7 +143,7 @@ def cards_of(selectors: Mapping[str, str] = SELECTORS):
     def page_cards(html: pd.Series) -> pd.Series:
         return html.map(cards)
 
-    return page_cards
+    return page_cards.asNondeterministic()
 
 
 def register(spark) -> None:
@@ -161,13 +162,14 @@ def page_content(pages: DataFrame, selectors: Mapping[str, str] = SELECTORS) ->
 def page_facts(pages: DataFrame, selectors: Mapping[str, str] = SELECTORS) -> DataFrame:
     """(page_id, part, key, value) from the two-column list and the technical sheet."""
     content = page_content(pages, selectors)
-    tagged = F.concat(*[
-        F.transform(F.coalesce(F.col(part), F.array().cast(PAIRS)), lambda e, part=part: F.struct(
-            F.lit(part).alias("part"), e.getField("key").alias("key"), e.getField("value").alias("value")
-        ))
-        for part in ("facts", "sheet")
-    ])
-    return content.select("page_id", F.inline(tagged))
+
+    def tagged(part: str) -> Column:
+        def one(e: Column) -> Column:
+            return F.struct(F.lit(part).alias("part"), e.getField("key").alias("key"), e.getField("value").alias("value"))
+
+        return F.transform(F.coalesce(F.col(part), F.array().cast(PAIRS)), one)
+
+    return content.select("page_id", F.inline(F.concat(tagged("facts"), tagged("sheet"))))
 
 
 def page_units(pages: DataFrame, selectors: Mapping[str, str] = SELECTORS) -> DataFrame:

@@ -1,8 +1,8 @@
 """Exact quantiles that never hold a group in one task.
 
-A sketch only *brackets* the wanted ranks. Exact counts say which bracket holds a
-rank, and just the rows in those brackets, a sliver of the data, are shuffled and
-ranked. A poor sketch would make the sliver wider, never the answer wrong.
+A sketch only *fences in* the wanted ranks. Exact counts say between which fences a
+rank lies, and just the rows there, a sliver of the data, are shuffled and ranked. A
+poor sketch would make the sliver wider, never the answer wrong.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.config import DEFAULTS
 from strata.operators.projection import quoted
-from strata.plans.sizing import broadcast_if_small
+from strata.plans.sizing import materialize, measured
 
 
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -33,9 +34,15 @@ def group_quantiles(
     probabilities: Sequence[float],
     names: Sequence[str],
     accuracy: int = 10_000,
+    written: bool = False,
 ) -> DataFrame:
     """One row per group with linear-interpolated quantiles; groups without a value
-    are absent. Null keys form a group."""
+    are absent. Null keys form a group.
+
+    The values are read three times. Unless the frame is a ``written`` table, keys and
+    value are written once first: sums of floating numbers that are computed anew may
+    differ in their last bit, and ranks need the same values each time.
+    """
     slack = 2.0 / accuracy
     cuts = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-slack, slack)})
     fence = [f"_f{i}" for i in range(len(cuts))]
@@ -47,63 +54,85 @@ def group_quantiles(
     data = data.filter(F.col("_v").isNotNull())
     if not keys:
         data = data.withColumn("_all", F.lit(0))
+    if not written:
+        data = materialize(data)
 
-    fences = data.groupBy(*group).agg(
-        F.sort_array(F.percentile_approx("_v", cuts, accuracy)).alias("_f")
-    ).select(
-        *[F.col(k).alias(f"_r_{k}") for k in group],
-        *[F.col("_f")[i].alias(f) for i, f in enumerate(fence)],
-    )
-    fences = broadcast_if_small(fences)
+    def renamed(per_group: DataFrame, *columns: Column | str) -> DataFrame:
+        return per_group.select(*[F.col(k).alias(f"_r_{k}") for k in group], *columns)
 
-    fenced = data.join(fences, _match(data, fences, group)).select(
-        *[data[k] for k in group], "_v", *fence
-    )
-    stats = fenced.groupBy(*group).agg(
+    fences = data.groupBy(*group).agg(F.sort_array(F.percentile_approx("_v", cuts, accuracy)).alias("_f"))
+    fences = renamed(fences, *[F.col("_f")[i].alias(f) for i, f in enumerate(fence)])
+    # Without keys there is one row. With keys the size is measured, and every later
+    # frame has one row of like width per group too.
+    small = True
+    if keys:
+        fences, size = measured(fences)
+        small = size <= DEFAULTS.broadcast_bytes // 4
+
+    def with_groups(per_group: DataFrame) -> DataFrame:
+        return data.join(F.broadcast(per_group) if small else per_group, _match(data, per_group, group))
+
+    counted = with_groups(fences).groupBy(*[data[k] for k in group]).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.max(f).alias(f) for f in fence],
         *[F.count_if(F.col("_v") < F.col(f)).alias(b) for f, b in zip(fence, below)],
-    ).select(*[F.col(k).alias(f"_r_{k}") for k in group], "_n", *fence, *below)
-    # One row per group again, so the check made for the fences holds here too.
-    stats = broadcast_if_small(stats)
-
-    def bracket(count_at_most: Column, marks: Sequence[str]) -> Column:
-        return reduce(lambda a, b: a + b, [(F.col(m) <= count_at_most).cast("int") for m in marks])
-
-    ranks = [r for p in probabilities for r in (F.floor(_position(p, F.col("_n"))), F.ceil(_position(p, F.col("_n"))))]
-    held = bracket(F.col("_v"), fence)
-    offset = F.coalesce(*[F.when(F.col("_k") == i + 1, F.col(b)) for i, b in enumerate(below)], F.lit(0).cast("long"))
+    )
+    # Per wanted quantile: values from _low up to, not including, _high hold its two
+    # ranks, and _off values come before them. Null means no bound.
+    n = F.col("_n")
+    spans = []
+    for i, p in enumerate(probabilities):
+        first, last = F.floor(_position(p, n)), F.ceil(_position(p, n))
+        reached = [F.when(F.col(b) <= first, F.col(c)) for c, b in zip(fence, below)]
+        passed = [F.when(F.col(b) > last, F.col(c)) for c, b in zip(fence, below)]
+        before = [F.when(F.col(b) <= first, F.col(b)) for b in below]
+        spans += [
+            F.greatest(*reached).alias(f"_low{i}"), F.least(*passed).alias(f"_high{i}"),
+            F.coalesce(F.greatest(*before), F.lit(0)).alias(f"_off{i}"),
+        ]
+    spans = renamed(counted, "_n", *spans)
+
+    def within(i: int) -> Column:
+        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
+        return (low.isNull() | (F.col("_v") >= low)) & (high.isNull() | (F.col("_v") < high))
+
+    wanted = range(len(probabilities))
+    hits = F.array_compact(F.array(*[
+        F.when(within(i), F.struct(F.lit(i).alias("i"), F.col(f"_off{i}").alias("off"))) for i in wanted
+    ]))
     near = (
-        data.join(stats, _match(data, stats, group))
-        .withColumn("_k", held)
-        .filter(reduce(or_, [F.col("_k") == bracket(r, below) for r in ranks]))
-        .withColumn("_offset", offset)
-        .select(*[data[k] for k in group], "_n", "_k", "_offset", "_v")
-        .groupBy(*group, "_n", "_k", "_offset", "_v").agg(F.count(F.lit(1)).alias("_c"))
+        with_groups(spans).filter(reduce(or_, [within(i) for i in wanted]))
+        .select(*[data[k] for k in group], "_n", "_v", F.explode(hits).alias("_hit"))
+        .groupBy(*group, "_n", F.col("_hit.i").alias("_i"), F.col("_hit.off").alias("_off"), "_v")
+        .agg(F.count(F.lit(1)).alias("_c"))
     )
-    up_to = Window.partitionBy(*group, "_n", "_k", "_offset").orderBy("_v").rowsBetween(
+    up_to = Window.partitionBy(*group, "_n", "_i", "_off").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    ranked = near.withColumn("_end", F.col("_offset") + F.sum("_c").over(up_to)).withColumn(
+    ranked = near.withColumn("_end", F.col("_off") + F.sum("_c").over(up_to)).withColumn(
         "_start", F.col("_end") - F.col("_c")
     )
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_v")))
+    def at(i: int, rank: Column) -> Column:
+        here = (F.col("_i") == i) & (F.col("_start") <= rank) & (rank < F.col("_end"))
+        return F.max(F.when(here, F.col("_v")))
 
-    picked = ranked.groupBy(*group, "_n").agg(
-        *[at(r).alias(f"_q{i}") for i, r in enumerate(ranks)]
-    )
+    picked = ranked.groupBy(*group, "_n").agg(*[
+        c for i, p in enumerate(probabilities) for c in (
+            at(i, F.floor(_position(p, n))).alias(f"_p{i}"), at(i, F.ceil(_position(p, n))).alias(f"_q{i}"),
+        )
+    ])
     out = []
     for i, (p, name) in enumerate(zip(probabilities, names)):
-        low, high = F.col(f"_q{2 * i}"), F.col(f"_q{2 * i + 1}")
-        share = _position(p, F.col("_n")) - F.floor(_position(p, F.col("_n")))
-        out.append((low + (high - low) * share).alias(name))
+        share = _position(p, n) - F.floor(_position(p, n))
+        out.append((F.col(f"_p{i}") + (F.col(f"_q{i}") - F.col(f"_p{i}")) * share).alias(name))
     return picked.select(*[F.col(k) for k in keys], *out)
 
 
-def quantile_row(df: DataFrame, value: str, probabilities: Sequence[float]) -> tuple[float, ...] | None:
+def quantile_row(
+    df: DataFrame, value: str, probabilities: Sequence[float], written: bool = False
+) -> tuple[float, ...] | None:
     """Quantiles of a whole column as plain numbers; None when it has no value."""
     names = [f"p{i}" for i in range(len(probabilities))]
-    row = group_quantiles(df, [], value, probabilities, names).first()
+    row = group_quantiles(df, [], value, probabilities, names, written=written).first()
     return tuple(row) if row is not None else None

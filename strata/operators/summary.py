@@ -9,11 +9,14 @@ from strata.operators.aggregates import (
     correlate, describe_numeric, group_summary, numeric_columns, top_k, value_counts,
 )
 from strata.operators.quality import profile_shape
+from strata.plans.sizing import materialize
 
 
-def price_by_department(df: DataFrame) -> DataFrame:
+def price_by_department(df: DataFrame, written: bool = False) -> DataFrame:
+    """Count, mean, median and range of prices. ``written`` as for quantiles."""
+    narrow = df.select("department", "precio")
     return group_summary(
-        df, ["department"],
+        narrow if written else materialize(narrow), ["department"],
         {
             "total_properties": F.count(F.lit(1)),
             "avg_price": F.avg("precio"),
@@ -21,7 +24,7 @@ def price_by_department(df: DataFrame) -> DataFrame:
             "max_price": F.max("precio"),
         },
         order_by=[F.desc("avg_price"), F.asc("department")],
-        medians={"median_price": "precio"},
+        medians={"median_price": "precio"}, written=True,
     ).select("department", "total_properties", "avg_price", "median_price", "min_price", "max_price")
 
 
@@ -64,8 +67,9 @@ def poi_analysis(df: DataFrame) -> DataFrame:
     )
 
 
+# Each takes the feature table as written.
 VIEWS = {
-    "price_by_department": price_by_department,
+    "price_by_department": lambda df: price_by_department(df, written=True),
     "price_by_type": price_by_type,
     "area_analysis": area_analysis,
     "poi_analysis": poi_analysis,
@@ -76,9 +80,11 @@ DESCRIBED = ("precio", "area_construida")
 COUNTED = ("department", "estrato", "tipo_de_inmueble", "estado", "financiacion")
 
 
-def summary(df: DataFrame, target: str = "precio", cities: int = 10) -> DataFrame:
+def summary(df: DataFrame, target: str = "precio", cities: int = 10, written: bool = False) -> DataFrame:
     """(section, column, item, value): shape, statistics, counts, top cities and
-    correlations as rows, built without bringing the data set to the driver."""
+    correlations as rows, built without bringing the data set to the driver. Each part
+    reads the data set, which is written once unless it is a ``written`` table."""
+    df = df if written else materialize(df)
     have = set(df.columns)
     shape = profile_shape(df).unpivot(
         [], ["total_records", "total_columns", "total_bytes"], "item", "value"

@@ -197,11 +197,11 @@ def gold(df: DataFrame, settings: Settings = DEFAULTS) -> Gold:
     """
     bounds = {"precio": settings.price_bounds, "area_construida": settings.area_bounds}
     dataset = materialize(gold_dataset(df, settings.price_bounds, settings.area_bounds))
-    features = materialize(iqr_filter(engineer(dataset), "precio", settings.iqr_factor))
+    features = materialize(iqr_filter(engineer(dataset), "precio", settings.iqr_factor, written=True))
     return Gold(
         features,
         {name: view(features) for name, view in VIEWS.items()},
-        summary(features),
+        summary(features, written=True),
         quality_report(dataset, bounds),
     )
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,28 +18,24 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="strata-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+        named = _local_dir()
     return named
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="strata-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; nothing is ever written there twice."""
     return f"{shared_dir(spark)}/scratch/{uuid.uuid4().hex}/{name}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write once to the shared folder and read from there: lineage is cut, and a
-    lost executor costs a re-read, not a recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def row_bytes(df: DataFrame) -> Column:
     """Rough bytes of one row: text by its length, numbers by 8, nested as JSON text."""
     total = F.lit(8).cast("long")
@@ -54,11 +51,21 @@ def row_bytes(df: DataFrame) -> Column:
     return total
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write once as a table in the shared folder and read that: lineage is cut, a lost
+    executor costs a re-read, every reader sees the same rows, and each reads only the
+    columns it needs."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def measured(df: DataFrame) -> tuple[DataFrame, int]:
-    """The frame, written once, and its bytes."""
-    kept = materialize(df)
-    size = kept.agg(F.coalesce(F.sum(row_bytes(kept)), F.lit(0))).first()[0]
-    return kept, int(size)
+    """The frame, written once, and its bytes, counted while writing. A task that runs
+    twice can only make the count larger."""
+    seen = Observation()
+    kept = materialize(df.observe(seen, F.sum(row_bytes(df)).alias("bytes")))
+    return kept, int(seen.get["bytes"] or 0)
 
 
 def broadcast_if_small(df: DataFrame, limit: int = DEFAULTS.broadcast_bytes) -> DataFrame:
