@@ -93,6 +93,8 @@ h as ({hex_sql('s', '*').replace('select *, case when', 'select id_house, url, d
 select h.*, """ + ", ".join(f"coalesce({c}, 0) as {c}" for c in POI) + " from h left join cells on h.hex_id = cells.hex_id")
 def _(t: Tables):
     rows = t.sql(KEYED_ROWS).join(t.sql(UNIT_TEXTS).withColumnRenamed("o_orderkey", "id_house"), "id_house")
+    # Parsing is the costly part, and raw files are many: spread what one small file gives.
+    rows = rows.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")))
     clean = flows.silver_clean(rows, places.poi_counts(elements(t), t.spark, CELL_KM), settings=SETTINGS)
     return clean.select(
         "id_house", "url", "department", "city", "estrato", "estado", "tipo_de_inmueble", "parqueaderos", "financiacion",
@@ -136,10 +138,10 @@ g as (select *, hospital + mall + park + school as poi_total from f) {views}"""
 @query("pipe_gold", _gold_sql())
 def _(t: Tables):
     enriched = places.enrich_poi(t.view("v_listing"), places.cell_counts(t.view("v_poi"), CELL_KM), CELL_KM)
-    views = flows.gold(enriched, SETTINGS).views
+    done = flows.gold(enriched, SETTINGS)
     long = []
     for name, (key, metrics) in GOLD_VIEWS.items():
-        numbers = views[name].select(key, *[F.col(m).cast("double").alias(m) for m in metrics])
+        numbers = done.view(name).select(key, *[F.col(m).cast("double").alias(m) for m in metrics])
         long.append(numbers.unpivot([key], list(metrics), "metric", "value").select(
             F.lit(name).alias("view"), F.col(key).alias("item"), "metric", "value"
         ))

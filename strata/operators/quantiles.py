@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.config import DEFAULTS
@@ -23,10 +23,6 @@ def _match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(and_, [left[k].eqNullSafe(right[f"_r_{k}"]) for k in keys])
 
 
-def _position(p: float, n: Column) -> Column:
-    return F.lit(float(p)) * (n - F.lit(1)).cast("double")
-
-
 def group_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -57,11 +53,14 @@ def group_quantiles(
     if not written:
         data = materialize(data)
 
-    def renamed(per_group: DataFrame, *columns: Column | str) -> DataFrame:
-        return per_group.select(*[F.col(k).alias(f"_r_{k}") for k in group], *columns)
+    # Expressions are written as SQL: one call each instead of one per operator.
+    by = ", ".join(f"`{k}`" for k in group)
+    foreign = [f"`{k}` as `_r_{k}`" for k in group]
 
-    fences = data.groupBy(*group).agg(F.sort_array(F.percentile_approx("_v", cuts, accuracy)).alias("_f"))
-    fences = renamed(fences, *[F.col("_f")[i].alias(f) for i, f in enumerate(fence)])
+    cut_list = ", ".join(f"{c!r}D" for c in cuts)
+    fences = data.groupBy(*group).agg(
+        F.expr(f"sort_array(percentile_approx(_v, array({cut_list}), {accuracy}))").alias("_f")
+    ).selectExpr(*foreign, *[f"_f[{i}] as {f}" for i, f in enumerate(fence)])
     # Without keys there is one row. With keys the size is measured, and every later
     # frame has one row of like width per group too.
     small = True
@@ -73,60 +72,48 @@ def group_quantiles(
         return data.join(F.broadcast(per_group) if small else per_group, _match(data, per_group, group))
 
     counted = with_groups(fences).groupBy(*[data[k] for k in group]).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.max(f).alias(f) for f in fence],
-        *[F.count_if(F.col("_v") < F.col(f)).alias(b) for f, b in zip(fence, below)],
+        F.expr("count(1)").alias("_n"),
+        *[F.expr(f"max({f})").alias(f) for f in fence],
+        *[F.expr(f"count_if(_v < {f})").alias(b) for f, b in zip(fence, below)],
     )
+
     # Per wanted quantile: values from _low up to, not including, _high hold its two
     # ranks, and _off values come before them. Null means no bound.
-    n = F.col("_n")
+    wanted = range(len(probabilities))
+    position = [f"{float(p)!r}D * (_n - 1)" for p in probabilities]
+    marks = list(zip(fence, below))
     spans = []
-    for i, p in enumerate(probabilities):
-        first, last = F.floor(_position(p, n)), F.ceil(_position(p, n))
-        reached = [F.when(F.col(b) <= first, F.col(c)) for c, b in zip(fence, below)]
-        passed = [F.when(F.col(b) > last, F.col(c)) for c, b in zip(fence, below)]
-        before = [F.when(F.col(b) <= first, F.col(b)) for b in below]
+    for i, at in enumerate(position):
+        reached = ", ".join(f"if({b} <= floor({at}), {f}, null)" for f, b in marks)
+        passed = ", ".join(f"if({b} > ceil({at}), {f}, null)" for f, b in marks)
+        before = ", ".join(f"if({b} <= floor({at}), {b}, null)" for b in below)
         spans += [
-            F.greatest(*reached).alias(f"_low{i}"), F.least(*passed).alias(f"_high{i}"),
-            F.coalesce(F.greatest(*before), F.lit(0)).alias(f"_off{i}"),
+            f"greatest({reached}) as _low{i}", f"least({passed}) as _high{i}", f"coalesce(greatest({before}), 0L) as _off{i}",
         ]
-    spans = renamed(counted, "_n", *spans)
-
-    def within(i: int) -> Column:
-        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
-        return (low.isNull() | (F.col("_v") >= low)) & (high.isNull() | (F.col("_v") < high))
+    spans = counted.selectExpr(*foreign, "_n", *spans)
 
-    wanted = range(len(probabilities))
-    hits = F.array_compact(F.array(*[
-        F.when(within(i), F.struct(F.lit(i).alias("i"), F.col(f"_off{i}").alias("off"))) for i in wanted
-    ]))
+    within = [f"((_low{i} is null or _v >= _low{i}) and (_high{i} is null or _v < _high{i}))" for i in wanted]
+    hits = ", ".join(f"if({within[i]}, struct({i} as i, _off{i} as off), null)" for i in wanted)
     near = (
-        with_groups(spans).filter(reduce(or_, [within(i) for i in wanted]))
-        .select(*[data[k] for k in group], "_n", "_v", F.explode(hits).alias("_hit"))
-        .groupBy(*group, "_n", F.col("_hit.i").alias("_i"), F.col("_hit.off").alias("_off"), "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    up_to = Window.partitionBy(*group, "_n", "_i", "_off").orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = near.withColumn("_end", F.col("_off") + F.sum("_c").over(up_to)).withColumn(
-        "_start", F.col("_end") - F.col("_c")
+        with_groups(spans).filter(" or ".join(within))
+        .select(*[data[k] for k in group], "_n", "_v", F.expr(f"explode(array_compact(array({hits})))").alias("_hit"))
+        .selectExpr(*[f"`{k}`" for k in group], "_n", "_hit.i as _i", "_hit.off as _off", "_v")
+        .groupBy(*group, "_n", "_i", "_off", "_v").agg(F.expr("count(1)").alias("_c"))
     )
+    ranked = near.selectExpr("*", f"""_off + sum(_c) over (
+        partition by {by}, _n, _i, _off order by _v rows between unbounded preceding and current row) as _end""")
 
-    def at(i: int, rank: Column) -> Column:
-        here = (F.col("_i") == i) & (F.col("_start") <= rank) & (rank < F.col("_end"))
-        return F.max(F.when(here, F.col("_v")))
+    def value_at(i: int, rank: str, name: str) -> Column:
+        here = f"_i = {i} and _end - _c <= {rank} and {rank} < _end"
+        return F.expr(f"max(if({here}, _v, null))").alias(name)
 
     picked = ranked.groupBy(*group, "_n").agg(*[
-        c for i, p in enumerate(probabilities) for c in (
-            at(i, F.floor(_position(p, n))).alias(f"_p{i}"), at(i, F.ceil(_position(p, n))).alias(f"_q{i}"),
-        )
+        c for i, at in enumerate(position)
+        for c in (value_at(i, f"floor({at})", f"_p{i}"), value_at(i, f"ceil({at})", f"_q{i}"))
+    ])
+    return picked.selectExpr(*[f"`{k}`" for k in keys], *[
+        f"_p{i} + (_q{i} - _p{i}) * ({position[i]} - floor({position[i]})) as `{name}`" for i, name in enumerate(names)
     ])
-    out = []
-    for i, (p, name) in enumerate(zip(probabilities, names)):
-        share = _position(p, n) - F.floor(_position(p, n))
-        out.append((F.col(f"_p{i}") + (F.col(f"_q{i}") - F.col(f"_p{i}")) * share).alias(name))
-    return picked.select(*[F.col(k) for k in keys], *out)
 
 
 def quantile_row(

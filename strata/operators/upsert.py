@@ -75,9 +75,19 @@ def upsert(
     if unknown:
         raise ValueError(f"updates have columns the table lacks: {unknown}")
     kept, size = measured(_unique(updates, key))
+    return merge_rows(target, kept, updates.columns, key, version, strategy, keep, size <= broadcast_bytes)
+
+
+def merge_rows(
+    target: DataFrame, kept: DataFrame, given: Sequence[str], key: str, version: str,
+    strategy: str, keep: Sequence[str], small: bool,
+) -> DataFrame:
+    """The upsert of rows known to have one row per key, as (_key, _new) with ``given``
+    fields; ``small`` says that their size has been checked."""
+    columns = target.columns
     old = target.select(quoted(key).alias("_key"), F.struct(*[quoted(c) for c in columns]).alias("_old"))
 
-    if size <= broadcast_bytes:
+    if small:
         both = old.join(F.broadcast(kept), "_key", "left")
         fresh = new_keys(old, kept, "_key", small=True).select(
             "_key", F.lit(None).cast(old.schema["_old"].dataType).alias("_old"), "_new"
@@ -94,7 +104,6 @@ def upsert(
     )
     both = both.withColumn("_action", action)
     take_new = F.col("_action").isin("inserted", "updated")
-    given = set(updates.columns)
 
     def merged(c: str) -> Column:
         old_value, new_value = F.col("_old").getField(c), F.col("_new").getField(c)

@@ -21,7 +21,7 @@ from strata.operators.filters import iqr_filter, require_key
 from strata.operators.ids import assign_ids
 from strata.operators.quality import quality_report
 from strata.operators.summary import VIEWS, summary
-from strata.operators.upsert import merge_stats, new_keys, upsert
+from strata.operators.upsert import merge_rows, merge_stats, new_keys
 from strata.plans.sizing import materialize, measured
 from strata.sources import files, snapshots
 
@@ -104,7 +104,9 @@ def dedup_merge(
     ids = assign_ids(fresh, "url", start=last + 1)
     ids = F.broadcast(ids) if small else ids
     numbered = best.join(ids, "url", "left")
-    merged = upsert(target, numbered, strategy=strategy, broadcast_bytes=settings.broadcast_bytes)
+    # One row per url by construction, and measured above.
+    kept = numbered.select(F.col("url").alias("_key"), F.struct(*numbered.columns).alias("_new"))
+    merged = merge_rows(target, kept, numbered.columns, "url", "fecha", strategy, ["id_house"], small)
     return Merge(merged, duplication_stats(batch, "url", settings.max_duplicate_ratio))
 
 
@@ -180,40 +182,46 @@ def silver_clean(df: DataFrame, counts: DataFrame, mode: str = "reference", sett
 
 @dataclass(frozen=True)
 class Gold:
+    """The written data set and features, and what is derived from them on request."""
+
+    dataset: DataFrame
     features: DataFrame
-    views: dict[str, DataFrame]
-    summary: DataFrame
-    report: DataFrame
+    settings: Settings = DEFAULTS
+
+    def view(self, name: str) -> DataFrame:
+        return VIEWS[name](self.features)
+
+    def summary(self) -> DataFrame:
+        return summary(self.features, written=True)
 
     def encoded(self) -> DataFrame:
         return one_hot(self.features, CATEGORICAL)
 
+    def report(self) -> DataFrame:
+        bounds = {"precio": self.settings.price_bounds, "area_construida": self.settings.area_bounds}
+        return quality_report(self.dataset, bounds)
+
 
 def gold(df: DataFrame, settings: Settings = DEFAULTS) -> Gold:
-    """Data set, derived columns, outliers out, views, summary and report.
+    """Data set, derived columns, outliers out.
 
     The data set is written once, since quartiles and filter both read it, and so are
     the features every output reads.
     """
-    bounds = {"precio": settings.price_bounds, "area_construida": settings.area_bounds}
     dataset = materialize(gold_dataset(df, settings.price_bounds, settings.area_bounds))
     features = materialize(iqr_filter(engineer(dataset), "precio", settings.iqr_factor, written=True))
-    return Gold(
-        features,
-        {name: view(features) for name, view in VIEWS.items()},
-        summary(features, written=True),
-        quality_report(dataset, bounds),
-    )
+    return Gold(dataset, features, settings)
 
 
 def write_gold(result: Gold, base: str, version: str, by: Sequence[str] = DEFAULTS.partition_columns) -> dict[str, str]:
-    """Features as a snapshot, encoding and views beside it, the summary as JSON rows."""
+    """Features, encoding and views as snapshots, summary and report as JSON rows."""
     paths = {"features": snapshots.write_snapshot(result.features, f"{base}/features", version, by=by)}
     paths["encoded"] = snapshots.write_snapshot(result.encoded(), f"{base}/encoded", version)
-    for name, view in result.views.items():
-        paths[name] = snapshots.write_snapshot(view, f"{base}/{name}", version)
-    paths["summary"] = f"{base}/summary/{version}"
-    files.write_json_rows(result.summary, paths["summary"])
+    for name in VIEWS:
+        paths[name] = snapshots.write_snapshot(result.view(name), f"{base}/{name}", version)
+    for name, rows in (("summary", result.summary()), ("report", result.report())):
+        paths[name] = f"{base}/{name}/{version}"
+        files.write_json_rows(rows, paths[name])
     return paths
 
 

@@ -62,7 +62,9 @@ def session(name: str = "strata-check", cpus: str = "8"):
         SparkSession.builder.master(f"local[{cpus}]").appName(name)
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g")
-        .config("spark.sql.adaptive.enabled", "true").getOrCreate()
+        .config("spark.sql.adaptive.enabled", "true")
+        # Recording the call site of every expression doubles the time to build a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark

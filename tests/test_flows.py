@@ -62,7 +62,7 @@ def test_gold_writes_every_output(spark, tmp_path):
     t = Tables(spark, FOLDER)
     enriched = places.enrich_poi(t.view("v_listing"), places.cell_counts(t.view("v_poi"), CELL_KM), CELL_KM)
     paths = flows.write_gold(flows.gold(enriched, SETTINGS), str(tmp_path), "2025-05-01_00-00-00")
-    assert set(paths) == {"features", "encoded", "summary", "price_by_department", "price_by_type", "area_analysis", "poi_analysis"}
+    assert set(paths) == {"features", "encoded", "summary", "report", "price_by_department", "price_by_type", "area_analysis", "poi_analysis"}
     features = snapshots.read_snapshot(spark, str(tmp_path / "features"))
     encoded = snapshots.read_snapshot(spark, str(tmp_path / "encoded"))
     assert features.count() == encoded.count() > 0 and "department" not in encoded.columns
