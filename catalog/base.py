@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -122,6 +123,12 @@ def cte(*names: str) -> str:
     return "with " + ",\n".join(f"{n} as ({VIEWS[n]})" for n in ordered) + "\n"
 
 
+@cache
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """The given tables do not change, so each schema is read once per session."""
+    return spark.read.parquet(path)
+
+
 class Tables:
     """The given tables of one folder, and views on them, as DataFrames."""
 
@@ -129,7 +136,7 @@ class Tables:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return _read(self.spark, f"{self.folder}/{name}.parquet")
 
     def sql(self, text: str) -> DataFrame:
         for name in TABLES:

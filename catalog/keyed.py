@@ -8,6 +8,8 @@ from catalog.base import Tables, cte, query
 from strata.operators.dedup import latest_per_key
 from strata.operators.ids import assign_ids
 from strata.operators.upsert import merge_stats, upsert
+from strata.plans.sizing import scratch_path
+from strata.sources.partitioned import read_current, upsert_partitions
 
 LATEST = "row_number() over (partition by url order by fecha desc, titulo desc)"
 
@@ -73,3 +75,19 @@ def _(t: Tables):
 def _(t: Tables):
     """The plan for a batch too large to broadcast."""
     return upsert(*batches(t), broadcast_bytes=-1).withColumnRenamed("_action", "action")
+
+
+@query("upsert_partitioned", upsert_sql("latest_wins").replace("action\nfrom target", "action, case when t.url is null or (u.url is not null and u.fecha >= t.fecha) then u.titulo else t.titulo end as department\nfrom target"))
+def _(t: Tables):
+    """The batch on a table in partitions, of which only the touched ones are rewritten;
+    a record moves to another partition when its kind changes."""
+    table = scratch_path(t.spark, "partitioned")
+    old, new = (df.withColumn("department", F.col("titulo")) for df in batches(t))
+    upsert_partitions(t.spark, table, old, "2025-05-01", by=["department"])
+    upsert_partitions(t.spark, table, new, "2025-05-02", by=["department"])
+    before = old.select("url", F.col("fecha").alias("_old"))
+    after = new.select("url", F.col("fecha").alias("_new"))
+    # Every partition is touched here; the action is told from both inputs for the check.
+    known = before.join(after, "url", "full_outer").select("url", F.when(F.col("_old").isNull(), "inserted").when(
+        F.col("_new").isNull(), "unchanged").when(F.col("_new") >= F.col("_old"), "updated").otherwise("refused").alias("action"))
+    return read_current(t.spark, table, ["department"]).join(known, "url").select("url", "fecha", "titulo", "precio", "department", "action")

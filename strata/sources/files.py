@@ -52,17 +52,13 @@ def write_csv(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 
-def write_partitioned(
-    df: DataFrame, path: str, by: Sequence[str] = ("department", "city"), salt: int = 1
-) -> None:
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("department", "city")) -> None:
     """Parquet in one folder per key.
 
-    Rows of a key meet in ``salt`` tasks, so folders get that many files each and a hot
-    key is not one task's work. The salt is a hash of the row: a re-run task writes
-    the same rows.
+    Rows of a key are brought together, so folders get few files; adaptive rebalancing
+    splits a hot key over several tasks and merges small ones.
     """
-    spread = F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(salt))
-    df.repartition(*[quoted(c) for c in by], spread).write.mode("overwrite").partitionBy(*by).parquet(path)
+    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def write_json_rows(df: DataFrame, path: str) -> None:

@@ -11,7 +11,7 @@ from catalog.places import CELL_KM
 from catalog.sources import RAW_ROWS
 from strata.operators import places
 from strata.plans import flows
-from strata.sources import files, snapshots
+from strata.sources import files, partitioned, snapshots
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -67,3 +67,27 @@ def test_gold_writes_every_output(spark, tmp_path):
     encoded = snapshots.read_snapshot(spark, str(tmp_path / "encoded"))
     assert features.count() == encoded.count() > 0 and "department" not in encoded.columns
     assert spark.read.text(paths["summary"]).count() > 20
+
+
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_path):
+    table, by = str(tmp_path / "t"), ["department", "city"]
+
+    def batch(*rows):
+        return spark.createDataFrame(rows, "url string, fecha string, department string, city string")
+
+    def state():
+        return {(r.url, r.fecha, r.department, r.city) for r in partitioned.read_current(spark, table, by).collect()}
+
+    count = lambda df: {r.action: r["count"] for r in df.collect()}
+    first = batch(("a", "1", "d", "007"), ("b", "1", "d", "x"), ("c", "1", "e", "y"), ("z", "1", "d", "x"))
+    assert count(partitioned.upsert_partitions(spark, table, first, "v1", by=by)) == {"inserted": 4}
+    # One row moves and leaves its partition empty, one is refused, one is new.
+    second = batch(("a", "2", "d", "x"), ("b", "0", "d", "x"), ("n", "2", "f", "w"))
+    done = count(partitioned.upsert_partitions(spark, table, second, "v2", by=by))
+    assert done == {"updated": 1, "refused": 1, "inserted": 1, "unchanged": 1}
+    expected = {("a", "2", "d", "x"), ("b", "1", "d", "x"), ("z", "1", "d", "x"), ("c", "1", "e", "y"), ("n", "2", "f", "w")}
+    assert state() == expected
+    assert sorted(p.name for p in (tmp_path / "t/data/v=v2").glob("d*")) == ["department=d", "department=f"]
+    assert partitioned.latest_version(spark, table, by) == "v2"
+    assert count(partitioned.upsert_partitions(spark, table, second, "v2", by=by)) == {} and state() == expected
+    assert "dynamicpruning" in partitioned.read_current(spark, table, by)._jdf.queryExecution().executedPlan().toString()

@@ -172,7 +172,7 @@ def test_snapshots_publish_and_bound(spark, tmp_path):
 def test_partitioned_write_is_repeatable(spark, tmp_path):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     for _ in range(2):
-        files.write_partitioned(df, str(tmp_path / "p"), ["k"], salt=2)
+        files.write_partitioned(df, str(tmp_path / "p"), ["k"])
     assert spark.read.parquet(str(tmp_path / "p")).count() == 100
 
 
