@@ -30,11 +30,11 @@ DETAIL = cte("v_text", "v_unit") + """, u as (
  from (select l_orderkey, l_linenumber, precio_txt, const_txt, tipo_txt,
   concat('<li class="proyect_units_list_item"><div class="unit_item"><span>Hab/Amb:</span><span> ', hab_txt,
    '</span></div><div class="unit_item"><span>Precio:</span><span>', precio_txt, '</span></div></li>') as blk,
-  concat('<tr><td>', const_txt, '</td><td>', priv_txt, '<td>', tipo_txt, '</td><td>', hab_txt, '</td><td>', banos_txt,
+  concat('<tr><td>', const_txt, '</td><td>', priv_txt, '</td><td>', tipo_txt, '</td><td>', hab_txt, '</td><td>', banos_txt,
    '</td><td><b>', precio_txt, '</b></td></tr>') as tr from v_unit) x group by l_orderkey)
 select o_orderkey as page_id, url, concat('<html><script>var t="</p>";</script><body>',
- '<div class="location-header"><p>Inicio<p>Calle ', estrato, '<p>y</p><p>Barrio ', estado, '</p></div>',
- '<ul class="ant-list-items"><li class="ant-list-item x"><div class="ant-col">Estrato</div><div class="ant-col c2">', estrato,
+ '<p><b><div class="location-header"><p>Inicio</p><p>Calle ', estrato, '</p><p>y</p><p>Barrio ', estado, '</p></div>',
+ '<ul class="ant-list-items"><li class="ant-list-item x"><div class="ant-col"> Estrato </div><div class="ant-col c2">', estrato,
  '</div></li><li class="ant-list-item"><div class="ant-col">Pisos</div><div class="ant-col">',
  case when pisos = 'No disponible' then '¡Pregúntale!' else pisos end, '</div></li></ul>',
  case when has_info = 1 then concat('<div class="jsx technical-sheet"><div class="ant-row ant-row-space-between">',
@@ -60,7 +60,7 @@ select o_orderkey as page_id, 'facts' as part, 'Estrato' as "key", estrato as va
 union all select o_orderkey, 'facts', 'Pisos', pisos from v_text
 union all select o_orderkey, 'sheet', 'Estado', estado from v_text where has_info = 1
 union all select o_orderkey, 'sheet', 'Remodelado', 'No disponible' from v_text where has_info = 1
-union all select o_orderkey, 'sheet', 'Precio', case when estado = 'F' then precio end from v_text where has_info = 1 or estado = 'F'""")
+union all select o_orderkey, 'sheet', 'Precio', case when estado = 'F' then precio end from v_text where has_info = 1""")
 def _(t: Tables):
     return pages.page_facts(detail(t))
 
@@ -80,8 +80,8 @@ def _(t: Tables):
 # One index page per customer: a card per order, page items up to the number of orders.
 INDEX = cte("v_text") + """
 select o_custkey as page_id, concat('https://listings.example/venta/', cast(o_custkey as string)) as url,
- concat('<div class="search-page-container">', array_join(transform(array_sort(collect_list(struct(o_orderkey, card))), x -> x.card), ''),
- '</div><ul class="list"><li class="ant-pagination-prev"><a>‹</a></li>',
+ concat('<div class="search-page-container"><section class="listingsWrapper">', array_join(transform(array_sort(collect_list(struct(o_orderkey, card))), x -> x.card), ''),
+ '</section></div><ul class="list"><li class="ant-pagination-prev"><a>‹</a></li>',
  array_join(transform(sequence(1, cast(count(*) as int)), i -> concat('<li class="ant-pagination-item ant-pagination-item-',
   cast(i as string), '"><a>', cast(i as string), '</a></li>')), ''), '<li class="ant-pagination-next"><a>›</a></li></ul>') as html
 from (select o_custkey, o_orderkey, concat('<div class="listingCard CO"><div class="lc-dataWrapper">',

@@ -1,4 +1,7 @@
-"""A small forgiving element tree for one page, used inside Arrow batches."""
+"""A small forgiving element tree for one page, used inside Arrow batches.
+
+Elements without an end tag stay open until an enclosing one ends.
+"""
 
 from __future__ import annotations
 
@@ -9,8 +12,6 @@ from html.parser import HTMLParser
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-# An opening tag that ends an open element of the same kind.
-SELF_CLOSING = frozenset(("p", "li", "tr", "td", "th", "option"))
 
 
 @cache
@@ -51,15 +52,24 @@ class Node:
     def first(self, selector: str) -> "Node | None":
         return next(iter(self.all(selector)), None)
 
-    def text(self) -> str:
-        parts, stack = [], list(reversed(self.children))
+    def pieces(self) -> list[str]:
+        """Text of all descendants in document order, scripts and styles left out."""
+        found, stack = [], list(reversed(self.children))
         while stack:
             item = stack.pop()
             if isinstance(item, str):
-                parts.append(item.strip())
+                found.append(item)
             elif item.tag not in ("script", "style"):
                 stack.extend(reversed(item.children))
-        return "".join(parts)
+        return found
+
+    def text(self) -> str:
+        """Pieces stripped one by one and joined."""
+        return "".join(p.strip() for p in self.pieces())
+
+    def whole_text(self) -> str:
+        """Pieces joined as they are, stripped at both ends."""
+        return "".join(self.pieces()).strip()
 
 
 class _Builder(HTMLParser):
@@ -74,8 +84,6 @@ class _Builder(HTMLParser):
         del self.open[depth:]
 
     def handle_starttag(self, tag, attrs):
-        if tag in SELF_CLOSING and self.open[-1].tag == tag:
-            self._close(-1)
         parent = self.open[-1]
         node = Node(tag, dict(attrs), self.page)
         parent.children.append(node)

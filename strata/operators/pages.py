@@ -23,19 +23,22 @@ from strata.operators.places import bbox_midpoint
 SELECTORS = {
     "fact_row": "ul.ant-list-items li.ant-list-item",
     "fact_cell": "div.ant-col",
-    "sheet_row": "div.technical-sheet div.ant-row.ant-row-space-between",
+    "sheet": "div.technical-sheet",
+    "sheet_row": "div.ant-row.ant-row-space-between",
     "sheet_cell": "div.ant-col",
     "sheet_label": "span.ant-typography",
     "sheet_ask": "button.btnQuestion",
     "price": "div.property-price-tag span.price",
     "unit_block": "li.proyect_units_list_item",
     "unit_item": "div.unit_item",
-    "unit_table_row": "div.ant-table-container tr",
+    "unit_table_row": "div.ant-table-container table tbody tr",
     "address": "div.location-header p",
-    "card": "div.listingCard",
-    "card_link": "a.lc-data",
-    "card_publisher": "div.publisher strong",
+    "card": "div.search-page-container section.listingsWrapper div",
+    "card_link": "div.lc-dataWrapper a.lc-data",
+    "card_publisher": "div.lc-dataWrapper div.publisher strong",
 }
+# Both occur in the class text of a card.
+CARD_WORDS = ("listingCard", "CO")
 UNIT_COLUMNS = ("area_construida", "area_privada", "tipo_inmueble", "hab_amb", "banos", "precio")
 LINK = r"""<a\s[^>]*?href="([^"]*)"[^>]*>"""
 PAGE_ITEM = r"""<li[^>]*ant-pagination-item[^>]*>(?:\s*<[^>]+>)*\s*([0-9]+)\s*<"""
@@ -60,13 +63,17 @@ def _pairs(found: Mapping[str, str | None]) -> list[dict[str, str | None]]:
 def _facts(page: Node, at: Mapping[str, str]) -> dict[str, str]:
     """Two-column list."""
     rows = (row.all(at["fact_cell"]) for row in page.all(at["fact_row"]))
-    return {cells[0].text(): _value(cells[1].text()) for cells in rows if len(cells) == 2}
+    return {cells[0].whole_text(): _value(cells[1].text()) for cells in rows if len(cells) == 2}
 
 
 def _sheet(page: Node, at: Mapping[str, str]) -> dict[str, str | None]:
-    """Technical sheet: label in the second span of column one, value in column three."""
+    """Technical sheet: label in the second span of column one, value in column three;
+    the price tag of the page belongs to it. A page without a sheet has neither."""
     found: dict[str, str | None] = {}
-    for row in page.all(at["sheet_row"]):
+    sheet = page.first(at["sheet"])
+    if sheet is None:
+        return found
+    for row in sheet.all(at["sheet_row"]):
         cells = row.all(at["sheet_cell"])
         labels = cells[0].all(at["sheet_label"]) if len(cells) > 2 else []
         if len(labels) > 1:
@@ -76,8 +83,7 @@ def _sheet(page: Node, at: Mapping[str, str]) -> dict[str, str | None]:
             found[labels[1].text()] = NOT_AVAILABLE if asked or not shown else shown
     tag = page.first(at["price"])
     price = tag.first("strong") if tag else None
-    if found or price:
-        found["Precio"] = price.text() if price else None
+    found["Precio"] = price.whole_text() if price else None
     return found
 
 
@@ -130,12 +136,14 @@ def cards_of(selectors: Mapping[str, str] = SELECTORS):
     def cards(html: str | None) -> list[dict]:
         out = []
         for card in tree(html or "").all(selectors["card"]):
+            if not all(w in (card.attrs.get("class") or "") for w in CARD_WORDS):
+                continue
             link, publisher = card.first(selectors["card_link"]), card.first(selectors["card_publisher"])
             attrs = link.attrs if link else {}
             out.append({
                 "href": attrs.get("href"),
                 "title": attrs.get("title"),
-                "publisher": publisher.text() if publisher else NOT_AVAILABLE,
+                "publisher": publisher.whole_text() if publisher else NOT_AVAILABLE,
             })
         return out
 

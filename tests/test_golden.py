@@ -264,3 +264,19 @@ def test_run_log_keeps_going(spark, tmp_path):
     assert flows.run_sources(spark, {"a": broken}, log) == "failed"
     got = spark.read.parquet(log)
     assert got.filter("source = 'a' and status = 'failed' and detail like '%no such tier%'").count() == 2
+
+
+def test_markup_nests_open_elements_and_keeps_inner_blanks():
+    from strata.functions.markup import tree
+
+    page = tree('<div class="a b"><p>x<p> y <i>z</i> w<br>v</div><script>"</p>"</script><p>t</p></b>')
+    assert [p.text() for p in page.all("p")] == ["xyzwv", "yzwv", "t"]
+    assert page.first("div.a.b p").whole_text() == "x y z wv"
+    assert page.first("div.c") is None and page.first("div i").text() == "z"
+
+
+def test_page_functions_from_sql(spark, rows):
+    pages.register(spark)
+    rows("html string", [("<ul class='ant-list-items'><li class='ant-list-item'><div class='ant-col'>a b</div><div class='ant-col'>¡Pregúntale!</div></li></ul>",)]).createOrReplaceTempView("one_page")
+    got = spark.sql("select inline(page_content(html).facts) from one_page").collect()
+    assert [tuple(r) for r in got] == [("a b", "No disponible")]
