@@ -77,30 +77,30 @@ def _(t: Tables):
     return pages.page_units(detail(t))
 
 
-# One index page per customer: a card per order, page items up to the number of orders.
+# One index page per twenty order numbers: a card per order, page items up to their count.
 INDEX = cte("v_text") + """
-select o_custkey as page_id, concat('https://listings.example/venta/', cast(o_custkey as string)) as url,
+select page_id, concat('https://listings.example/venta/', cast(page_id as string)) as url,
  concat('<div class="search-page-container"><section class="listingsWrapper">', array_join(transform(array_sort(collect_list(struct(o_orderkey, card))), x -> x.card), ''),
  '</section></div><ul class="list"><li class="ant-pagination-prev"><a>‹</a></li>',
  array_join(transform(sequence(1, cast(count(*) as int)), i -> concat('<li class="ant-pagination-item ant-pagination-item-',
   cast(i as string), '"><a>', cast(i as string), '</a></li>')), ''), '<li class="ant-pagination-next"><a>›</a></li></ul>') as html
-from (select o_custkey, o_orderkey, concat('<div class="listingCard CO"><div class="lc-dataWrapper">',
+from (select cast(floor(o_orderkey / 20) as bigint) as page_id, o_orderkey, concat('<div class="listingCard CO"><div class="lc-dataWrapper">',
   '<a class="lc-data" href="', url, '" title="Casa ', estado, ' &amp; patio">ver</a>',
   case when has_info = 1 then concat('<div class="publisher">por <strong>', constructor, '</strong></div>') else '' end,
-  '</div></div>') as card from v_text) x group by o_custkey"""
+  '</div></div>') as card from v_text) x group by page_id"""
 
 
 @query("listing_cards", cte("v_text") + f"""
-select o_custkey as page_id, concat('{BASE}', url) as url, concat('Casa ', estado, ' & patio') as titulo,
+select cast(floor(o_orderkey / 20) as bigint) as page_id, concat('{BASE}', url) as url, concat('Casa ', estado, ' & patio') as titulo,
  case when has_info = 1 then constructor else 'No disponible' end as constructor from v_text""")
 def _(t: Tables):
     return pages.listing_cards(t.sql(INDEX), BASE)
 
 
-@query("crawl_frontier", cte("v_text") + """, n as (select o_custkey, count(*) as n from v_text group by o_custkey)
-select o_custkey as page_id, cast(i as int) as page,
- concat('https://listings.example/venta/', cast(o_custkey as varchar), '/pagina', cast(i as varchar)) as url
-from (select o_custkey, unnest(generate_series(1, n)) as i from n) x""")
+@query("crawl_frontier", cte("v_text") + """, n as (select cast(floor(o_orderkey / 20) as bigint) as page_id, count(*) as n from v_text group by 1)
+select page_id, cast(i as int) as page,
+ concat('https://listings.example/venta/', cast(page_id as varchar), '/pagina', cast(i as varchar)) as url
+from (select page_id, unnest(generate_series(1, n)) as i from n) x""")
 def _(t: Tables):
     return pages.crawl_frontier(t.sql(INDEX))
 

@@ -200,8 +200,10 @@ def _(t: Tables):
     return _units(t, UNIT_TABLE_TEXTS)
 
 
-@query("json_explode_inner", "select l_orderkey, l_linenumber, l_quantity from lineitem")
+@query("json_explode_inner", """
+select l_orderkey, l_linenumber, 'quantity' as item, l_quantity as amount from lineitem
+union all select l_orderkey, l_linenumber, 'price', l_extendedprice from lineitem""")
 def _(t: Tables):
-    grouped = t.sql("""select l_orderkey, collect_list(struct(l_linenumber, l_quantity)) as elements
-        from lineitem group by l_orderkey""")
-    return grouped.select("l_orderkey", F.inline("elements"))
+    nested = t.sql("""select l_orderkey, l_linenumber, array(named_struct('item', 'quantity', 'amount', l_quantity),
+        named_struct('item', 'price', 'amount', l_extendedprice)) as elements from lineitem""")
+    return nested.select("l_orderkey", "l_linenumber", F.inline("elements"))

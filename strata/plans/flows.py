@@ -25,7 +25,8 @@ from strata.operators.upsert import merge_rows, merge_stats, new_keys
 from strata.plans.sizing import materialize, measured
 from strata.sources import files, snapshots
 
-RUN_LOG = "run_id string, source string, status string, detail string, finished_at timestamp"
+# Fixed value: folder and bare name at the end of a landed file's path.
+FILE_LOCATION = r"([^/]+/[^/]+?)\.csv$"
 
 
 def run_id(now: datetime | None = None) -> str:
@@ -38,9 +39,13 @@ def run_id(now: datetime | None = None) -> str:
 def bronze_rows(raw: DataFrame, batch: str, location: str | None = None,
                 settings: Settings = DEFAULTS) -> DataFrame:
     """Raw rows under their table names, with location and lineage. ``location`` names
-    a column with the crawl path, where the rows do not carry their city yet."""
+    a column with the crawl path; ``"file"`` takes it from the folder and name of each
+    file, as in ``cali/valle-del-cauca.csv``."""
     rows = projection.rename(raw.withColumn("_source", F.col("_metadata.file_path")))
-    if location is not None:
+    if location == "file":
+        rows = rows.withColumn("_path", F.regexp_extract("_source", FILE_LOCATION, 1))
+        rows = projection.with_location(rows, "_path", settings.location_order).drop("_path")
+    elif location is not None:
         rows = projection.with_location(rows, location, settings.location_order).drop(location)
     return projection.lineage(rows, F.col("_source"), batch).drop("_source")
 
@@ -52,14 +57,18 @@ class Bronze:
     report: DataFrame
 
 
-def bronze(spark: SparkSession, csv_path: str, table: str, batch: str | None = None) -> Bronze:
+def bronze(
+    spark: SparkSession, csv_path: str, table: str, batch: str | None = None,
+    location: str | None = None, settings: Settings = DEFAULTS,
+) -> Bronze:
     """Listing files to a snapshot, and a quality report of what was written.
+    ``location`` as for ``bronze_rows``.
 
     Text is parsed once: the report reads the snapshot.
     """
     batch = batch or run_id()
     raw = files.read_listings_csv(spark, csv_path)
-    path = snapshots.write_snapshot(bronze_rows(raw, batch), table, batch)
+    path = snapshots.write_snapshot(bronze_rows(raw, batch, location, settings), table, batch)
     rows = snapshots.read_snapshot(spark, table, batch)
     return Bronze(path, rows, quality_report(rows.select(*schemas.RAW_RENAMED.fieldNames()[:10])))
 

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.operators.dedup import latest_per_key
 from strata.operators.quality import quality_by_window
 from strata.operators.upsert import upsert
-from strata.sources import snapshots
+from strata.sources import partitioned, snapshots
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | str, files_per_trigger: int | None = None) -> DataFrame:
@@ -63,6 +63,23 @@ def upsert_stream(
     )
 
 
+def upsert_partitioned_stream(
+    stream: DataFrame, table: str, checkpoint: str, by: Sequence[str], key: str = "url",
+    version: str = "fecha", strategy: str = "latest_wins",
+) -> StreamingQuery:
+    """As above on a partitioned table: a micro-batch rewrites only the partitions it
+    touches. A replayed one is in the log already and changes nothing."""
+
+    def apply(batch: DataFrame, number: int) -> None:
+        best = latest_per_key(batch, key, version)
+        partitioned.upsert_partitions(batch.sparkSession, table, best, f"{number:020d}", key, by, version, strategy)
+
+    return (
+        stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
 def live_quality(stream: DataFrame, ts: str, column: str, delay: str = "1 hour", width: str = "1 hour") -> DataFrame:
     """Quality figures per closed window; late rows count until the delay has passed."""
     return quality_by_window(stream.withWatermark(ts, delay), ts, column, width)

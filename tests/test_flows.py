@@ -91,3 +91,16 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     assert partitioned.latest_version(spark, table, by) == "v2"
     assert count(partitioned.upsert_partitions(spark, table, second, "v2", by=by)) == {} and state() == expected
     assert "dynamicpruning" in partitioned.read_current(spark, table, by)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bronze_takes_the_city_from_the_file(spark, tmp_path):
+    folder = tmp_path / "landing" / "cali"
+    folder.mkdir(parents=True)
+    header = "Fecha,URL,Título,Constructor,Item,Unidades,full_info,Direccion_Principal,Direccion_Asociadas,lat/lon"
+    (folder / "valle-del-cauca.csv").write_text(header + "\n2025-05-01,u,t,c,{},[],0,d,e,x\n", encoding="utf-8")
+    done = flows.bronze(spark, str(tmp_path / "landing/*/*.csv"), str(tmp_path / "b"), "2025-05-01_00-00-00", "file")
+    row = done.rows.first()
+    assert (row.city, row.department, row.url, row.titulo) == ("cali", "valle-del-cauca", "u", "t")
+    merged = flows.merge_into_table(spark, done.rows, str(tmp_path / "t"), "2025-05-01_00-00-00")
+    assert merged.first().asDict() == {"action": "inserted", "count": 1}
+    assert snapshots.read_snapshot(spark, str(tmp_path / "t")).first().city == "cali"

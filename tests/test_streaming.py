@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from catalog.base import Tables
 from strata.operators.dedup import latest_per_key
 from strata.operators.quality import quality_by_window
-from strata.sources import snapshots
+from strata.sources import partitioned, snapshots
 from strata.streaming import ingest
 
 FOLDER = "/root/testdata/sf0.001"
@@ -52,6 +52,16 @@ def test_replayed_micro_batch_changes_nothing(spark, tmp_path):
     assert rowset(snapshots.read_snapshot(spark, table)) == rowset(latest_per_key(rows))
 
 
+def test_partitioned_upsert_stream(spark, tmp_path):
+    src, table = (str(tmp_path / n) for n in ("src", "table"))
+    rows = landed(spark, src)
+    for mark in ("mark1", "mark2"):
+        stream = ingest.read_batches(spark, src, rows.schema, 1)
+        ingest.upsert_partitioned_stream(stream, table, str(tmp_path / mark), ["titulo"]).awaitTermination()
+    got = partitioned.read_current(spark, table, ["titulo"]).select(*rows.columns)
+    assert rowset(got) == rowset(latest_per_key(rows))
+
+
 def test_live_quality_matches_batch(spark, tmp_path):
     src, out, mark = (str(tmp_path / n) for n in ("src", "out", "mark"))
     rows = landed(spark, src).withColumn("fecha", F.col("fecha").cast("timestamp"))
