@@ -9,7 +9,6 @@ from catalog.aggregates import rounded
 from catalog.base import Tables, cte, query
 from catalog.features import BOUNDS
 from catalog.places import elements
-from strata import schemas
 from strata.functions.geo import morton
 from strata.operators import features, summary
 from strata.operators.projection import rename

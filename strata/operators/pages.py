@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.config import ASK_MARKERS, NOT_AVAILABLE
-from strata.functions import geo, json, text
+from strata.functions import geo, text
 from strata.functions.markup import Node, tree
 from strata.operators.places import bbox_midpoint
 
