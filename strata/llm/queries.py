@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import fingerprints
+from strata.llm import chat, fingerprints, packing, token_counts, url_filter
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,87 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+#: The conversation that looks like markup itself.
+LOOKALIKE = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+OP1_SQL = r"""
+with c as (
+ select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+ union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+ union all select -7, 1, 'assistant', '\### Assistant: </turn> ok')
+select conv_id, count(*) as n_turns,
+ sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+ cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+ sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+ cast(sum(length('### ') + length(replace(replace(role, '%', '%25'), chr(10), '%0A')) + 1 + length(text)
+  + (length(text) - length(replace(text, '</turn>', ''))) // 7
+  + (length(text) - length(replace(text, '### ', ''))) // 4
+  + length('n</turn>n')) as bigint) as formatted_chars
+from c group by conv_id"""
+
+
+@query("op1_chat_formatting", OP1_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.format_digests(rows.unionByName(spark.createDataFrame(LOOKALIKE, "conv_id long, turn long, role string, text string")))
+
+
+@query("op5_token_counts")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"))
+
+
+@query("op6_packing")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+OP9_SQL = r"""
+with u as (
+ select page_id, url, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+  coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
+ from pages),
+j as (select *, case
+  when (host = 'www.example.com' or host like '%.www.example.com') and starts_with(path, '/en/') then 'www.example.com/en/'
+  when (host = 'example.com' or host like '%.example.com') and starts_with(path, '/en/') then 'example.com/en/'
+  when (host = 'net' or host like '%.net') and starts_with(path, '/es/') then 'net/es/'
+  when (host = 'net' or host like '%.net') and starts_with(path, '/fr/') then 'net/fr/'
+  when (host = 'com' or host like '%.com') and starts_with(path, '/') then 'com/' end as rule from u),
+parts as (select distinct url, 's:' || regexp_replace(x, '[0-9]+', '#', 'g') as t
+  from (select url, unnest(string_split(regexp_extract(url, '(?s)^(.*?)://', 1), ':')) as x from u) where x <> ''
+ union select distinct url, 'h:' || regexp_replace(x, '[0-9]+', '#', 'g')
+  from (select url, unnest(string_split(host, '.')) as x from u) where x <> ''
+ union select distinct url, 'p:' || regexp_replace(x, '[0-9]+', '#', 'g')
+  from (select url, unnest(string_split(path, '/')) as x from u) where x <> ''
+ union select distinct url, 'q:' || regexp_replace(x, '[0-9]+', '#', 'g')
+  from (select url, regexp_extract(unnest(string_split(regexp_extract(url, '(?s)^[^?#]*\?([^#]*)', 1), '&')), '^[^=]*') as x from u) where x <> ''),
+labelled as (select row_number() over () as r, u.url, coalesce(l.toxic = 1, false) or coalesce(l.quality = 0, false) as bad
+ from u join labels l on u.page_id = l.doc_id where u.url is not null and (l.toxic is not null or l.quality is not null)),
+least as (select greatest(5, ceil(count(*) * 0.002)) as n from labelled),
+b as (select r, bad, t from labelled join parts using (url)),
+combos as (
+ select t as a, '' as b, '' as c, bad from b
+ union all select x.t, y.t, '', x.bad from b x join b y on x.r = y.r and x.t < y.t
+ union all select x.t, y.t, z.t, x.bad from b x join b y on x.r = y.r and x.t < y.t join b z on z.r = y.r and y.t < z.t),
+rules as (select a, b, c from combos group by a, b, c
+ having count(*) filter (bad) >= (select n from least) and 100 * count(*) filter (bad) >= 60 * count(*)),
+hit as (
+ select url from parts join rules on a = t and b = ''
+ union select x.url from parts x join rules on a = x.t and b <> '' and c = '' join parts y on y.url = x.url and y.t = b
+ union select x.url from parts x join rules on a = x.t and c <> '' join parts y on y.url = x.url and y.t = b
+  join parts z on z.url = x.url and z.t = c)
+select page_id, host, path, rule,
+ case when rule in ('com/', 'www.example.com/en/') then 'allow' when rule is not null then 'block'
+  when url in (select url from hit where url is not null) then 'block' else 'allow' end as verdict
+from j"""
+
+
+@query("op9_url_filters", OP9_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
 @query("op10_document_fingerprints")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_documents(table(spark, folder, "documents"))
