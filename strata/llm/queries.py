@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import chat, fingerprints, packing, token_counts, url_filter
+from strata.llm import chat, fingerprints, ngram_join, packing, token_counts, url_filter
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,11 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_digests(rows.unionByName(spark.createDataFrame(LOOKALIKE, "conv_id long, turn long, role string, text string")))
 
 
+@query("op4_ngram_jaccard_join")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, folder, "documents"))
+
+
 @query("op5_token_counts")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"))
