@@ -18,25 +18,25 @@ LONG_WORD = 1 << 16  # longer words are hashed on their own
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-_BASE = 0x9E3779B97F4A7C15
+BASE = 0x9E3779B97F4A7C15
 _BYTE = np.random.default_rng(20250).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, base & (2**64 - 1), np.uint64)]), dtype=np.uint64)
 
 
-_INVERSE = pow(_BASE, -1, 2**64)
+INVERSE = pow(BASE, -1, 2**64)
 _TABLES: dict[str, np.ndarray] = {}
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _TABLES:
-        _TABLES["up"], _TABLES["down"] = _powers(_BASE, SLICE * 2), _powers(_INVERSE, SLICE * 2)
+        _TABLES["up"], _TABLES["down"] = powers(BASE, SLICE * 2), powers(INVERSE, SLICE * 2)
     if n < len(_TABLES["up"]):
         return _TABLES["up"], _TABLES["down"]
-    return _powers(_BASE, n), _powers(_INVERSE, n)
+    return powers(BASE, n), powers(INVERSE, n)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
