@@ -1,17 +1,82 @@
-"""The corpus pipeline; stages are added as their operators are."""
+"""The corpus pipeline: from raw documents to packed token sequences.
+
+Stages take and return the columns of documents, whatever columns there are beside them;
+only the last returns pieces of sequences. Each is written as Parquet and read again, so a
+lost executor costs a re-read of the stage before. A stage looks at all its predecessor
+kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.llm import decontamination, language, ngram_join, packing, pii
 from strata.llm.common import table
+from strata.plans.sizing import materialize
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """With ``_row``: equal for rows that are alike in id and text, so that what is found
+    out about a row finds its way back, even where ids repeat or are null."""
+    return docs.withColumn("_row", F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.coalesce(F.col("text"), F.lit(""))))
+
+
+def _with_length(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a clear language; ``lang`` becomes what was found. Null, blank and
+    letterless texts go, as do texts that look like no language."""
+    return language.accepted_documents(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose sets of five-word shingles are alike to 0.8 or more:
+    the one with the smallest id. Texts without words, and rows without an id, are in no
+    group and stay."""
+    found = ngram_join.jaccard_components(docs, k=5, percent=80)
+    leaves = found.filter("component_id < doc_id").select("doc_id").distinct()
+    stay = docs.join(leaves, "doc_id", "left_anti").select(*docs.columns)
+    named = stay.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    return named.unionByName(stay.filter("doc_id is null"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item stands, word for word or slightly edited."""
+    keyed = _keyed(docs)
+    hit = decontamination.matches(
+        keyed.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_row")).distinct()
+    return keyed.join(hit, "_row", "left_anti").select(*docs.columns)
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind."""
+    return _with_length(pii.redact(docs)).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences of at most 2,048 ids (see ``op6``)."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near_copies", drop_near_copies),
+    ("decontamination", decontaminate),
+    ("personal_data", redact_personal_data),
+    ("packing", pack_sequences),
+]
 
-STAGES: list = []
+# Language models, edit distances and token ids are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

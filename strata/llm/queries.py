@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import chat, fingerprints, ngram_join, packing, substrings, token_counts, url_filter
+from strata.llm import chat, decontamination, fingerprints, language, ngram_join, packing, pii, substrings, token_counts, url_filter
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,16 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_digests(rows.unionByName(spark.createDataFrame(LOOKALIKE, "conv_id long, turn long, role string, text string")))
 
 
+@query("op2_personal_data")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, folder, "documents"))
+
+
+@query("op3_benchmark_decontamination")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op4_ngram_jaccard_join")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, folder, "documents"))
@@ -70,6 +80,16 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, folder, "documents"), with_text=False)
 
 
+@query("op8_language_id")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify_documents(table(spark, folder, "documents"))
+
+
+@query("pages_language")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify_pages(table(spark, folder, "pages"), table(spark, folder, "documents"))
+
+
 OP9_SQL = r"""
 with u as (
  select page_id, url, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
