@@ -170,46 +170,62 @@ def postings(docs: DataFrame, k: int, percent: int, limit: int, frequent) -> Dat
     return docs.mapInArrow(run, _POSTINGS)
 
 
-def shared_keys(all_postings: DataFrame) -> DataFrame:
-    """Postings whose key two different sets have, once each. Rows stream past in order of
-    key, so a key of any frequency needs no memory."""
+def shared_keys(all_postings: DataFrame, percent: int) -> DataFrame:
+    """Postings that some other set meets under the same key, and may be alike to, by their
+    sizes and places. Rows stream past in order of key; lists of up to ``SHORT`` postings
+    are looked at pair by pair, of longer ones all are kept."""
+    def run(batches):
+        carry, long_key = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            if carry is not None:
+                table = pa.concat_tables([carry, table])
+            key = table["key"].to_numpy()
+            ready = int(np.searchsorted(key, key[-1]))  # the last list may go on
+            if len(key) - ready > LONGEST_CARRY:
+                ready, long_next = len(key), key[-1]
+            else:
+                long_next = long_key
+            if ready:
+                yield from _meeting(table.slice(0, ready), percent, long_key)
+            carry, long_key = table.slice(ready), long_next
+        if carry is not None and carry.num_rows:
+            yield from _meeting(carry, percent, long_key)
+
     ordered = all_postings.repartition("key").sortWithinPartitions("key", "n", "set_id", "at")
-    return ordered.mapInArrow(_shared, _POSTINGS)
+    return ordered.mapInArrow(run, _POSTINGS)
 
 
-def _shared(batches):
-    carry, before = None, None  # rows not yet decided; key of the last row that was
+SHORT = 8
+LONGEST_CARRY = 50_000
 
-    def decided(table, upto):
-        key = table["key"].to_numpy()
-        same = key[1:] == key[:-1]
-        keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        if before is not None:
-            keep[0] |= bool(key[0] == before)
-        return table.slice(0, upto).filter(pa.array(keep[:upto])).to_batches()
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        if carry is not None:
-            table = pa.concat_tables([carry, table])
-        key, name = table["key"].to_numpy(), table["set_id"].to_numpy()
-        table = table.filter(pa.array(np.concatenate([[True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])])))
-        upto = table.num_rows - 1  # whether the last has a neighbour is not known yet
-        if upto:
-            yield from decided(table, upto)
-            before = table["key"][upto - 1].as_py()
-        carry = table.slice(upto)
-    if carry is not None:
-        yield from decided(carry, carry.num_rows)
+def _meeting(table: pa.Table, percent: int, long_key: int | None):
+    key, name = table["key"].to_numpy(), table["set_id"].to_numpy()
+    fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])])
+    table = table.filter(pa.array(fresh))
+    key = key[fresh]
+    n, at = table["n"].to_numpy().astype(np.int64), table["at"].to_numpy().astype(np.int64)
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.concatenate([new, [len(key)]]))
+    keep = np.repeat(size > SHORT, size)
+    if long_key is not None:
+        keep |= key == long_key
+    for d in range(1, min(SHORT, len(key))):
+        meet = (key[d:] == key[:-d]) & ((100 + percent) * np.minimum(n[d:] - at[d:], n[:-d] - at[:-d]) >= percent * (n[d:] + n[:-d]))
+        keep[d:] |= meet
+        keep[:-d] |= meet
+    return table.filter(pa.array(keep)).to_batches()
 
 
 _STORED = pa.schema([("set_id", _I64), ("n", _I64), ("home", _I64), ("block", _I64), ("tokens", pa.binary())])
 
 
 def stored_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """Sets that share some key: ``wanted`` names a document for each."""
+    """Sets that share some key: ``wanted`` names a document for each. A set comes twice
+    only if rows of one id have the same text; all that reads the table allows for it."""
     def run(batches):
         for batch in batches:
             cols = batch.to_pydict()
@@ -223,7 +239,7 @@ def stored_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
     rows = docs.join(broadcast_if_small(wanted), "doc_id")
     return rows.select("text", "set_id", "home", "block").mapInArrow(
-        run, "set_id long, n long, home long, block long, tokens binary").dropDuplicates(["set_id"])
+        run, "set_id long, n long, home long, block long, tokens binary")
 
 
 def block_components(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -279,6 +295,8 @@ def home_components(stored: DataFrame, percent: int) -> DataFrame:
             out = []
             c = batch.to_pydict()
             for row in zip(c["set_id"], c["tokens"], c["home"], c["block"]):
+                if held and row[0] == held[-1][0]:
+                    continue  # the same set again
                 if row[2:] != current or row[2] is None:
                     if held:
                         out += solve(held)
@@ -295,9 +313,11 @@ def home_components(stored: DataFrame, percent: int) -> DataFrame:
 
 
 def linked_pairs(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
-    """``a, b`` of those pairs of sets that are alike enough."""
-    left = stored.select(F.col("set_id").alias("a"), F.col("tokens").alias("_a"))
-    right = stored.select(F.col("set_id").alias("b"), F.col("tokens").alias("_b"))
+    """``a, b`` of those pairs of sets that are alike enough. Where the pairs are few, they go
+    to the sets, and only sets that are in a pair move."""
+    pairs = broadcast_if_small(pairs)
+    left = pairs.join(stored.select(F.col("set_id").alias("a"), F.col("tokens").alias("_a")), "a")
+    right = pairs.join(stored.select(F.col("set_id").alias("b"), F.col("tokens").alias("_b")), "b")
 
     def run(batches):
         for batch in batches:
@@ -310,7 +330,7 @@ def linked_pairs(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame
                 keep.append((100 + percent) * shared >= percent * (len(s) + len(t)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "_a", "_b").mapInArrow(run, "a long, b long")
+    return left.join(right, ["a", "b"]).select("a", "b", "_a", "_b").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -409,7 +429,7 @@ def jaccard_components(documents: DataFrame, k: int = 4, percent: int = 85) -> D
     sizes = {r["n"]: r["c"] for r in named.filter("n <= 256").groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
     limit = boundary(sizes, list_length(found), percent)
     frequent = spark.sparkContext.broadcast(frequent_shingles(found))
-    shared = materialize(shared_keys(postings(docs.filter("doc_id is not null"), k, percent, limit, frequent)))
+    shared = materialize(shared_keys(postings(docs.filter("doc_id is not null"), k, percent, limit, frequent), percent))
 
     # One document, and the block of its first key, for every set that shares some key.
     homes = shared.filter("first").select("key", "set_id")
