@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import decontamination, language, ngram_join, packing, pii
 from strata.llm.common import table
-from strata.plans.sizing import materialize
+from strata.plans.sizing import broadcast_if_small, materialize
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -39,17 +39,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     the one with the smallest id. Texts without words, and rows without an id, are in no
     group and stay."""
     found = ngram_join.jaccard_components(docs, k=5, percent=80)
-    leaves = found.filter("component_id < doc_id").select("doc_id").distinct()
+    leaves = broadcast_if_small(found.filter("component_id < doc_id").select("doc_id").distinct())
     stay = docs.join(leaves, "doc_id", "left_anti").select(*docs.columns)
-    named = stay.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(stay.filter("doc_id is null"))
+    # Only rows whose id repeats are compared by their text.
+    repeated = broadcast_if_small(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    once = stay.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+    again = stay.join(repeated, "doc_id", "left_semi").select(*docs.columns)
+    return once.unionByName(again.dropDuplicates(["doc_id", "text"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item stands, word for word or slightly edited."""
     keyed = _keyed(docs)
-    hit = decontamination.matches(
-        keyed.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_row")).distinct()
+    found = decontamination.matches(keyed.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    hit = broadcast_if_small(found.select(F.col("doc_id").alias("_row")).distinct())
     return keyed.join(hit, "_row", "left_anti").select(*docs.columns)
 
 
