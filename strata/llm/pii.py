@@ -124,11 +124,11 @@ _ODD = re.compile("[" + "".join(_LOOKALIKES) + _INVISIBLE + "\uff01-\uff5e\u0660
 _DIGIT_WORD = "|".join(sorted(map(re.escape, _DIGIT_WORDS), key=len, reverse=True))
 _SPELLED = re.compile(
     rf"(?<!\w)(?:(?:plus|\+)[ -]*)?(?:{_DIGIT_WORD}|[0-9]+)(?:(?:[ ,.-]+|[ ]*(?:dot|point|punkt|punto)[ ]*)(?:{_DIGIT_WORD}|[0-9]+)){{3,}}(?!\w)", re.I)
-_SPELLED_PART = re.compile(rf"(?<!\w)(?:({_DIGIT_WORD})|(plus)[ ]*|[ ]*(?:dot|point|punkt|punto)[ ]*)(?!\w)", re.I)
+_SPELLED_PART = re.compile(rf"({_DIGIT_WORD})(?!\w)|[0-9]+|(plus)(?!\w)[ -]*|(dot|point|punkt|punto)(?!\w)|([ ]+)|[,.+-]", re.I)
 _HAS_WORD = re.compile(rf"(?<!\w)(?:{_DIGIT_WORD})(?!\w)[ ,.-]+(?:{_DIGIT_WORD}|dot|point|punkt|punto)(?!\w)", re.I)
 _BRACKETS = re.compile(r"[\[({<]\s*(?:(at|arroba|@)|(?:dot|punkt|point|punto|\.))\s*[\])}>]\s*", re.I)
 _SPOKEN = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?: dot [A-Za-z0-9_%+-]+)*( at )[A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+(?![A-Za-z0-9-])", re.I)
+    r"(?<![A-Za-z0-9._%+-])(?<! dot )[A-Za-z0-9_%+-]+(?: dot [A-Za-z0-9_%+-]+)*( at )[A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+(?![A-Za-z0-9-])", re.I)
 _SPOKEN_DOT = re.compile(" dot ", re.I)
 _MIXED = re.compile(r"(?<=@)[A-Za-z0-9-]+(?:(?: dot |\.)[A-Za-z0-9-]+)+", re.I)
 
@@ -155,12 +155,14 @@ def rewritten(text: str) -> Rewrite | None:
         r.edit([(m.start(), m.end(), _ascii(m[0])) for m in _ODD.finditer(text) if _ascii(m[0]) != m[0]])
     changes = []
     for run in _SPELLED.finditer(r.text):
-        for m in _SPELLED_PART.finditer(r.text, run.start(), run.end()):
+        parts = list(_SPELLED_PART.finditer(r.text, run.start(), run.end()))
+        dotted = any(m[3] for m in parts)  # then blanks only part the digits of one number
+        for m in parts:
             if m[1]:
                 changes.append((m.start(), m.end(), _DIGIT_WORDS[m[1].lower()]))
-            else:
-                changes.append((m.start(), m.end(), "+" if m[2] else "."))
-    r.edit([c for c in changes if c[1] > c[0]])
+            elif m[2] or m[3] or (m[4] and dotted):
+                changes.append((m.start(), m.end(), "+" if m[2] else "." if m[3] else ""))
+    r.edit(changes)
     changes = []
     for m in _BRACKETS.finditer(r.text):
         start, low = m.start(), changes[-1][1] if changes else 0
@@ -179,7 +181,7 @@ def rewritten(text: str) -> Rewrite | None:
 
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     """Plain spans, and plain and disguised spans together. A disguised one is added where
-    it overlaps no other."""
+    it overlaps no other, or where a plain one is only a part of it."""
     base = plain_spans(text)
     form = rewritten(text)
     if form is None:
@@ -187,7 +189,8 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     full = list(base)
     for kind, a, b in plain_spans(form.text):
         start, end = form.source(a, b)
-        if all(end <= s or e <= start for _, s, e in full):
+        within = [s for s in full if s[1] < end and start < s[2]]
+        if (kind, start, end) not in within and all(k == kind and start <= s and e <= end for k, s, e in within):
             full.append((kind, start, end))
     full.sort(key=lambda s: (s[1], KINDS.index(s[0])))
     return base, full
