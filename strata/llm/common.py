@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,9 @@ def or_empty(column: str | Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
-def rows_of(df: DataFrame) -> int:
-    """Rows of a frame, counted by Spark; used to size buckets, never to cut data."""
-    return df.count()
+def parts(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: what Python objects are made of at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import or_empty, texts
+from strata.llm.common import or_empty, parts, texts
 
 PERCENT = 5  # edits allowed, of the characters of an item
 BLOCK_CHARS = 2_000_000  # characters of benchmark text in one broadcast
@@ -190,7 +190,7 @@ def matches(documents: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
 def _search(docs: DataFrame, items, percent: int) -> DataFrame:
     def run(batches):
         matcher = Matcher(items.value, percent)
-        for batch in batches:
+        for batch in parts(batches):
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 found = list(matcher.find(normal(text)))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import or_empty
+from strata.llm.common import or_empty, parts
 from strata.plans.sizing import broadcast_if_small, materialize
 
 OTHER = "und"
@@ -85,7 +85,7 @@ def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> TextModel:
 
     def count(batches):
         held: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in parts(batches):
             for text, name in zip(batch.column("text").to_pylist(), batch.column("language").to_pylist()):
                 to = held.setdefault(name, np.zeros(BUCKETS, np.int64))
                 for part in trigrams(text[:SAMPLE_CHARS]):
@@ -109,7 +109,7 @@ def scored(df: DataFrame, model: TextModel, text: str) -> DataFrame:
 
     def run(batches):
         m = shared.value
-        for batch in batches:
+        for batch in parts(batches):
             found = [m.score(t) for t in batch.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in others), pa.array([f[0] for f in found], pa.list_(pa.float64())), pa.array([f[1] for f in found], pa.int64())],

@@ -27,16 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import texts
+from strata.llm.common import parts, texts
 from strata.llm.words import groups, mix, shingle_sets
 from strata.plans.sizing import broadcast_if_small, materialize
 
 FREQUENT = 1 << 18  # shingles whose frequency the order knows; a fixed bound
-COUNT_CHUNK = 4_000_000  # shingles counted at once within a task
+COUNT_CHUNK = 2_000_000  # shingles counted at once within a task
 BLOCK = 1_500  # sets compared with each other in memory
 SEEN = 1_000_000  # set ids a task remembers
 SAMPLE = np.uint64(1023)  # one shingle in 1,024 (by hash) tells how long lists are
-STARS = 2
+STARS = 1
 _I64 = pa.int64()
 
 
@@ -77,7 +77,7 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches):
         held, total, seen = [], 0, set()
-        for batch in batches:
+        for batch in parts(batches):
             rows = []
             for doc, s in _sets(batch, k):
                 name = _set_id(s)
@@ -137,7 +137,7 @@ def postings(docs: DataFrame, k: int, percent: int, limit: int, frequent) -> Dat
     def run(batches):
         tokens, rank = frequent.value
         seen: set[int] = set()
-        for batch in batches:
+        for batch in parts(batches):
             out: list[tuple] = []
             for _, s in _sets(batch, k):
                 n = len(s)
@@ -220,26 +220,43 @@ def _meeting(table: pa.Table, percent: int, long_key: int | None):
     return table.filter(pa.array(keep)).to_batches()
 
 
-_STORED = pa.schema([("set_id", _I64), ("n", _I64), ("home", _I64), ("block", _I64), ("tokens", pa.binary())])
+_STORED = pa.schema([("set_id", _I64), ("n", _I64), ("home", _I64), ("block", _I64), ("bits", pa.binary()), ("tokens", pa.binary())])
+
+
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """Bytes of a bitmap with a bit for every shingle; some three bits or more for each."""
+    size = 1 << max(6, int(3 * len(s)).bit_length())
+    out = np.zeros(size, bool)
+    out[(s >> np.uint64(20)) & np.uint64(size - 1)] = True
+    return np.packbits(out, bitorder="little")
+
+
+def most_shared(a: np.ndarray, n: int, b: np.ndarray, m: int) -> int:
+    """No two sets of sizes n, m with these bitmaps share more: a bit that only one has
+    stands for at least one shingle that only it has. The longer bitmap is folded."""
+    if len(a) > len(b):
+        a, n, b, m = b, m, a, n
+    b = np.bitwise_or.reduce(b.reshape(-1, len(a)), axis=0)
+    return min(n - int(np.bitwise_count(a & ~b).sum()), m - int(np.bitwise_count(b & ~a).sum()))
 
 
 def stored_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """Sets that share some key: ``wanted`` names a document for each. A set comes twice
     only if rows of one id have the same text; all that reads the table allows for it."""
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             cols = batch.to_pydict()
             out = []
             for at, part in groups(cols["text"]):
                 for i, s in enumerate(shingle_sets(part, k), at):
                     if _set_id(s) == cols["set_id"][i]:
-                        out.append((cols["set_id"][i], len(s), cols["home"][i], cols["block"][i], s.tobytes()))
+                        out.append((cols["set_id"][i], len(s), cols["home"][i], cols["block"][i], bitmap(s).tobytes(), s.tobytes()))
             if out:
                 yield _batch(_STORED, zip(*out))
 
     rows = docs.join(broadcast_if_small(wanted), "doc_id")
     return rows.select("text", "set_id", "home", "block").mapInArrow(
-        run, "set_id long, n long, home long, block long, tokens binary")
+        run, "set_id long, n long, home long, block long, bits binary, tokens binary")
 
 
 def block_components(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -291,13 +308,13 @@ def home_components(stored: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         held, current = [], None
-        for batch in batches:
+        for batch in parts(batches):
             out = []
             c = batch.to_pydict()
             for row in zip(c["set_id"], c["tokens"], c["home"], c["block"]):
                 if held and row[0] == held[-1][0]:
                     continue  # the same set again
-                if row[2:] != current or row[2] is None:
+                if row[2:] != current:
                     if held:
                         out += solve(held)
                     held, current = [], row[2:]
@@ -307,30 +324,40 @@ def home_components(stored: DataFrame, percent: int) -> DataFrame:
         if held:
             yield _batch(_LABEL, zip(*solve(held)))
 
-    key = F.coalesce(F.col("home"), F.col("set_id"))
-    placed = stored.repartition(key, "block").sortWithinPartitions("home", "block", "set_id")
-    return placed.select("set_id", "tokens", "home", "block").mapInArrow(run, "set_id long, comp long, home long, block long")
+    placed = stored.filter("home is not null").repartition("home", "block").sortWithinPartitions("home", "block", "set_id")
+    solved = placed.select("set_id", "tokens", "home", "block").mapInArrow(run, "set_id long, comp long, home long, block long")
+    alone = stored.filter("home is null").select("set_id", F.col("set_id").alias("comp"), "home", "block").distinct()
+    return solved.unionByName(alone)
 
 
-def linked_pairs(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
-    """``a, b`` of those pairs of sets that are alike enough. Where the pairs are few, they go
+def _with_both(pairs: DataFrame, stored: DataFrame, column: str) -> DataFrame:
+    """Pairs ``a, b`` with ``n`` and a column of both sets. Where the pairs are few, they go
     to the sets, and only sets that are in a pair move."""
     pairs = broadcast_if_small(pairs)
-    left = pairs.join(stored.select(F.col("set_id").alias("a"), F.col("tokens").alias("_a")), "a")
-    right = pairs.join(stored.select(F.col("set_id").alias("b"), F.col("tokens").alias("_b")), "b")
+    left = pairs.join(stored.select(F.col("set_id").alias("a"), F.col("n").alias("_n"), F.col(column).alias("_a")), "a")
+    right = pairs.join(stored.select(F.col("set_id").alias("b"), F.col("n").alias("_m"), F.col(column).alias("_b")), "b")
+    return left.join(right, ["a", "b"]).select("a", "b", "_n", "_m", "_a", "_b")
 
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("_a"), batch.column("_b")):
-                s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([s, t])
-                both.sort(kind="stable")
-                shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append((100 + percent) * shared >= percent * (len(s) + len(t)))
+
+def linked_pairs(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` of those pairs of sets that are alike enough. Bitmaps, a twentieth of the
+    sets' size, first rule out most that cannot be; the sets themselves decide."""
+    def chosen(batches, test):
+        for batch in parts(batches, 500):
+            c = batch.select(["_n", "_m"]).to_pydict()
+            keep = [test(n, m, x.as_buffer(), y.as_buffer()) for n, m, x, y in zip(c["_n"], c["_m"], batch.column("_a"), batch.column("_b"))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return left.join(right, ["a", "b"]).select("a", "b", "_a", "_b").mapInArrow(run, "a long, b long")
+    def possible(n, m, x, y):
+        return (100 + percent) * most_shared(np.frombuffer(x, np.uint8), n, np.frombuffer(y, np.uint8), m) >= percent * (n + m)
+
+    def alike(n, m, x, y):
+        both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
+        both.sort(kind="stable")
+        return (100 + percent) * int(np.count_nonzero(both[1:] == both[:-1])) >= percent * (n + m)
+
+    left = _with_both(pairs, stored, "bits").mapInArrow(lambda batches: chosen(batches, possible), "a long, b long")
+    return _with_both(left, stored, "tokens").mapInArrow(lambda batches: chosen(batches, alike), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import texts
+from strata.llm.common import parts, texts
 from strata.plans.sizing import materialize
 
 WINDOW = 2048
@@ -79,7 +79,7 @@ def cut(documents: DataFrame, window: int = WINDOW, with_ids: bool = False) -> D
 
     def run(batches):
         code = encoder()
-        for batch in batches:
+        for batch in parts(batches):
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = np.append(code.ids(text), np.uint32(END_ID)).astype("<u4")

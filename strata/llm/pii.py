@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import texts
+from strata.llm.common import parts, texts
 
 # --- Fixed values: kinds in the order of the contract, and its patterns. ---
 KINDS = ("email", "ip", "card", "phone")
@@ -230,7 +230,7 @@ def find_personal_data(documents: DataFrame) -> DataFrame:
     Other columns are ignored.
     """
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 base, full = all_spans(text)

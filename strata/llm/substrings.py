@@ -29,7 +29,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import texts
+from strata.llm.common import parts, texts
 from strata.llm.words import BASE, INVERSE, groups, mix, ngrams, powers, word_hashes
 from strata.plans.sizing import materialize
 
@@ -37,8 +37,8 @@ PREFIX = 12  # words
 BITMAP_BITS = 27  # 16 MB, whatever the size of the corpus
 FREQUENT = 5_000  # occurrences from which a prefix is lengthened
 MOST_FREQUENT = 1 << 16  # a fixed bound on how many are
-CHUNK = 4_000_000  # prefixes counted at once within a task
-FOLD = 200_000  # runs a task remembers
+CHUNK = 2_000_000  # prefixes counted at once within a task
+FOLD = 100_000  # runs a task remembers
 LEVELS = (4, 12)  # words added to a node's depth at each level; the rest comes last
 CELL = 5  # bytes of a word's hash within a run
 
@@ -83,7 +83,7 @@ def prefix_counts(docs: DataFrame, window: int) -> DataFrame:
 
     def run(batches):
         held, total = [], 0
-        for batch in batches:
+        for batch in parts(batches):
             for _, part in groups(batch.column("text").to_pylist()):
                 h, _, _, bounds = word_hashes(part)
                 held.append(_runs(h, bounds, window)[4])
@@ -128,7 +128,7 @@ def runs(docs: DataFrame, window: int, bitmap, frequent) -> DataFrame:
         bits, many = bitmap.value, frequent.value
         mask = np.uint64(len(bits) * 64 - 1)
         seen: dict[int, tuple | None] = {}
-        for batch in batches:
+        for batch in parts(batches):
             docs_, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
             rows: list[tuple] = []
 
@@ -297,7 +297,7 @@ def remove_repeats(documents: DataFrame, window: int = 35, with_text: bool = Tru
     out = pa.schema([f for f in _RESULT if with_text or f.name != "kept"])
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             rows, size = [], 0
             spans_ = batch.column("spans")
             for i, (doc, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import texts
+from strata.llm.common import parts, texts
 
 PER_TASK = 4_096
 TABLE = 65_536
@@ -132,7 +132,7 @@ def frequent(docs: DataFrame, per_task: int = PER_TASK, table: int = TABLE) -> D
     added up from ``per_task`` rows of each task."""
     def tally(batches):
         seen = Tally()
-        for batch in batches:
+        for batch in parts(batches):
             for text in batch.column(0).to_pylist():
                 seen.update(text.split())
             if len(seen) > TALLY:
@@ -162,7 +162,7 @@ def count_tokens(documents: DataFrame, limit: int = 4096, path: str | None = Non
 
     def count(batches):
         counter = Counter(path, tier_one.value)
-        for batch in batches:
+        for batch in parts(batches):
             rows = batch.column("text").to_pylist()
             n = [counter.count(t) for t in rows]
             yield pa.RecordBatch.from_arrays(

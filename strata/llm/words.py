@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import xxhash
 
-SLICE = 1 << 20  # bytes handled at once: temporaries take some 50 times that
+SLICE = 1 << 18  # bytes handled at once: temporaries take some 50 times that
 LONG_WORD = 1 << 16  # longer words are hashed on their own
 
 _SPACE = np.zeros(256, bool)
