@@ -36,7 +36,7 @@ WINDOW = 2048
 END_ID = 1
 ANCHORS = 8  # frequent lengths that combinations of three are built around
 SWEEPS = 60
-BUCKET_ROWS = 200_000
+BUCKET_ROWS = 2_000
 
 # Characters for which both libraries surely agree on what is a letter, digit or space.
 _OTHER = re.compile("[^\t\n\r -~¡-ɏ‐-‧‰-›€]")
@@ -196,11 +196,15 @@ def plan(histogram: dict[int, int], window: int = WINDOW) -> Plan:
     return Plan(*columns_, sequence, padding)
 
 
-def numbered(pieces: DataFrame, rows: int) -> DataFrame:
+def numbered(pieces: DataFrame, histogram: dict[int, int]) -> DataFrame:
     """``_number``: 0, 1, ... within each length. Pieces are numbered in hashed buckets of
-    about ``BUCKET_ROWS`` and each bucket is moved up by the count of those before it."""
-    buckets = rows // BUCKET_ROWS + 1
-    placed = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)))
+    about ``BUCKET_ROWS``, as many for a length as it has pieces for, and each bucket is
+    moved up by the count of those before it. The table of buckets per length has a row for
+    each length at most."""
+    spark = pieces.sparkSession
+    buckets = spark.createDataFrame([(v, n // BUCKET_ROWS + 1) for v, n in histogram.items()], "length long, _buckets long")
+    placed = pieces.join(F.broadcast(buckets), "length").withColumn(
+        "_bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("_buckets")))
     before = placed.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n")).withColumn(
         "_before", F.sum("_n").over(Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)))
     order = Window.partitionBy("length", "_bucket").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
@@ -226,7 +230,7 @@ def place(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
                 [batch.column(c) for c in names[:-2]]
                 + [pa.array(p.sequence[at] + rest // p.many[at]), pa.array(p.offset[at] + rest % p.many[at] * length)], names=names)
 
-    return numbered(pieces, sum(histogram.values())).mapInArrow(run, f"{_PIECES}, sequence_id long, offset long")
+    return numbered(pieces, histogram).mapInArrow(run, f"{_PIECES}, sequence_id long, offset long")
 
 
 def pack(documents: DataFrame, window: int = WINDOW) -> DataFrame:

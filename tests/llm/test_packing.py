@@ -56,7 +56,7 @@ def check(rows, texts, window):
     return padding
 
 
-@pytest.mark.parametrize("rows_per_bucket", [200_000, 7])
+@pytest.mark.parametrize("rows_per_bucket", [2_000, 7])
 def test_query(spark, monkeypatch, rows_per_bucket):
     monkeypatch.setattr(packing, "BUCKET_ROWS", rows_per_bucket)
     folder = "/root/testdata/sf0.01"
