@@ -8,8 +8,10 @@ from catalog.base import Tables, cte, query
 from strata.operators.dedup import latest_per_key
 from strata.operators.ids import assign_ids
 from strata.operators.upsert import merge_stats, upsert
+from strata.plans import flows
 from strata.plans.sizing import scratch_path
 from strata.sources.partitioned import read_current, upsert_partitions
+from strata.streaming import ingest
 
 LATEST = "row_number() over (partition by url order by fecha desc, titulo desc)"
 
@@ -83,11 +85,62 @@ def _(t: Tables):
     a record moves to another partition when its kind changes."""
     table = scratch_path(t.spark, "partitioned")
     old, new = (df.withColumn("department", F.col("titulo")) for df in batches(t))
-    upsert_partitions(t.spark, table, old, "2025-05-01", by=["department"])
-    upsert_partitions(t.spark, table, new, "2025-05-02", by=["department"])
+    upsert_partitions(t.spark, table, old, by=["department"])
+    upsert_partitions(t.spark, table, new, by=["department"])
     before = old.select("url", F.col("fecha").alias("_old"))
     after = new.select("url", F.col("fecha").alias("_new"))
     # Every partition is touched here; the action is told from both inputs for the check.
     known = before.join(after, "url", "full_outer").select("url", F.when(F.col("_old").isNull(), "inserted").when(
         F.col("_new").isNull(), "unchanged").when(F.col("_new") >= F.col("_old"), "updated").otherwise("refused").alias("action"))
     return read_current(t.spark, table, ["department"]).join(known, "url").select("url", "fecha", "titulo", "precio", "department", "action")
+
+
+@query("upsert_late_batch", cte("v_daily") + """, part as (select *, case event_id % 3 when 0 then 1 when 1 then 2 else 3 end as applied from v_daily)
+select url, cast(fecha as date) as fecha, titulo, cast(event_id as varchar) as constructor from (
+ select *, row_number() over (partition by url order by applied desc, fecha desc, titulo desc) as rn from part) x where rn = 1""")
+def _(t: Tables):
+    """Two batches of one second, then one under an older id; a day's record keeps its
+    date, so whichever comes last counts, and records move between partitions."""
+    table = scratch_path(t.spark, "late")
+    rows = t.view("v_daily").select("event_id", "url", "fecha", "titulo", F.col("event_id").cast("string").alias("constructor"),
+                                    F.col("titulo").alias("department"), F.lit("c").alias("city"))
+    for part, batch in enumerate(("2025-05-02_00-00-00", "2025-05-02_00-00-00", "2025-05-01_00-00-00")):
+        flows.merge_into_table(t.spark, rows.filter(F.col("event_id") % 3 == part).drop("event_id"), table, batch)
+    return read_current(t.spark, table).select("url", "fecha", "titulo", "constructor")
+
+
+PLACED = """select concat('/e/', cast(event_id as string)) as url, ts as fecha, event_type as titulo,
+ case event_id % 4 when 0 then null when 1 then '' when 2 then '~null' else event_type end as department from events"""
+
+
+@query("upsert_null_partition", PLACED.replace("as string", "as varchar").replace("event_id % 4", "(event_id + case when event_id % 5 = 0 then 1 else 0 end) % 4"))
+def _(t: Tables):
+    """Null and empty partition values; every fifth record moves to the next partition."""
+    table, rows = scratch_path(t.spark, "unplaced"), t.sql(PLACED)
+    upsert_partitions(t.spark, table, rows, by=["department"])
+    moved = t.sql(PLACED.replace("event_id % 4", "(event_id + 1) % 4") + " where event_id % 5 = 0")
+    upsert_partitions(t.spark, table, moved, by=["department"])
+    return read_current(t.spark, table, ["department"]).select("url", "fecha", "titulo", "department")
+
+
+@query("stream_upsert", cte("v_daily") + f"""
+select url, fecha, titulo, event_id, precio from (select *, {LATEST} as rn from v_daily) x where rn = 1""")
+def _(t: Tables):
+    """Two streams with checkpoints of their own into one table."""
+    table, rows = scratch_path(t.spark, "streamed"), t.view("v_daily")
+    for batch in ("b1", "b2"):
+        src = scratch_path(t.spark, batch)
+        rows.filter(F.col("batch_id") == batch).drop("batch_id").write.parquet(src)
+        stream = ingest.read_batches(t.spark, src, rows.drop("batch_id").schema)
+        ingest.upsert_stream(stream, table, scratch_path(t.spark, "mark"), ["titulo"]).awaitTermination()
+    return read_current(t.spark, table, ["titulo"]).select("url", "fecha", "titulo", "event_id", "precio")
+
+
+@query("stream_ingest", cte("v_batch") + "select url, fecha, titulo, event_id, precio, batch_id from v_batch")
+def _(t: Tables):
+    src, out, mark = (scratch_path(t.spark, n) for n in ("landed", "out", "mark"))
+    rows = t.view("v_batch").select("url", "fecha", "titulo", "event_id", "precio", "batch_id")
+    for batch in ("b1", "b2"):
+        rows.filter(F.col("batch_id") == batch).write.mode("append").parquet(src)
+        ingest.append_stream(ingest.read_batches(t.spark, src, rows.schema), out, mark).awaitTermination()
+    return t.spark.read.schema(rows.schema).parquet(out)

@@ -19,11 +19,11 @@ from strata.operators.dedup import latest_per_key
 from strata.operators.features import engineer, gold_dataset, one_hot
 from strata.operators.filters import iqr_filter, require_key
 from strata.operators.ids import assign_ids
-from strata.operators.quality import quality_report
+from strata.operators.quality import quality_report, require_valid
 from strata.operators.summary import VIEWS, summary
 from strata.operators.upsert import merge_rows, merge_stats, new_keys
 from strata.plans.sizing import materialize, measured
-from strata.sources import files, snapshots
+from strata.sources import files, partitioned, snapshots
 
 # Fixed value: folder and bare name at the end of a landed file's path.
 FILE_LOCATION = r"([^/]+/[^/]+?)\.csv$"
@@ -43,7 +43,11 @@ def bronze_rows(raw: DataFrame, batch: str, location: str | None = None,
     file, as in ``cali/valle-del-cauca.csv``."""
     rows = projection.rename(raw.withColumn("_source", F.col("_metadata.file_path")))
     if location == "file":
-        rows = rows.withColumn("_path", F.regexp_extract("_source", FILE_LOCATION, 1))
+        # Paths come encoded, where a plus sign is itself.
+        plain = F.url_decode(F.replace(F.col("_source"), F.lit("+"), F.lit("%2B")))
+        path = F.regexp_extract(plain, FILE_LOCATION, 1)
+        unlike = F.raise_error(F.concat(F.lit("no folder and name in "), plain)).cast("string")
+        rows = rows.withColumn("_path", F.when(path != "", path).otherwise(unlike))
         rows = projection.with_location(rows, "_path", settings.location_order).drop("_path")
     elif location is not None:
         rows = projection.with_location(rows, location, settings.location_order).drop(location)
@@ -87,20 +91,17 @@ class Merge:
         return distinct_stats(self.rows, [c for c in ("url", "department", "city") if c in self.rows.columns])
 
 
-def prepared(batch: DataFrame) -> DataFrame:
+def prepared(batch: DataFrame, key: str = "url", version: str = "fecha") -> DataFrame:
     """Keys and texts trimmed, date text read with its time of day, unusable rows out."""
     rows = batch.withColumns(text.trimmed(c for c in TRIMMED if c in batch.columns))
-    if dict(rows.dtypes)["fecha"] == "string":
-        rows = rows.withColumn("fecha", text.parse_timestamp(F.col("fecha")))
-    return require_key(rows, ["url", "fecha"])
+    if dict(rows.dtypes)[version] == "string":
+        rows = rows.withColumn(version, text.parse_timestamp(F.col(version)))
+    return require_key(rows, [key, version])
 
 
-def dedup_merge(
-    batch: DataFrame, target: DataFrame, batch_id: str, strategy: str = "latest_wins",
-    settings: Settings = DEFAULTS,
-) -> Merge:
-    """One batch into the keyed table: trim, newest per url, date, lineage, ids for new
-    urls, upsert. ``target`` needs ``id_house``, ``url`` and ``fecha`` (a date)."""
+def numbered(batch: DataFrame, target: DataFrame, batch_id: str, settings: Settings = DEFAULTS) -> tuple[DataFrame, bool]:
+    """The rows to merge: trimmed, newest per url, dated, with lineage, and with ids where
+    the url is new; and whether they are small enough to broadcast."""
     best = latest_per_key(prepared(batch)).withColumn("fecha", F.to_date("fecha")).withColumn(
         "batch_id", F.lit(batch_id)
     )
@@ -109,34 +110,47 @@ def dedup_merge(
     best, size = measured(projection.select_existing(best, [c for c in target.columns if c != "id_house"]))
     small = size <= settings.broadcast_bytes
     last = target.agg(F.coalesce(F.max("id_house"), F.lit(0))).first()[0]
-    fresh = new_keys(target, best.select("url"), "url", small)
-    ids = assign_ids(fresh, "url", start=last + 1)
-    ids = F.broadcast(ids) if small else ids
-    numbered = best.join(ids, "url", "left")
-    # One row per url by construction, and measured above.
-    kept = numbered.select(F.col("url").alias("_key"), F.struct(*numbered.columns).alias("_new"))
-    merged = merge_rows(target, kept, numbered.columns, "url", "fecha", strategy, ["id_house"], small)
+    ids = assign_ids(new_keys(target, best.select("url"), "url", small), "url", start=last + 1)
+    return best.join(F.broadcast(ids) if small else ids, "url", "left"), small
+
+
+def dedup_merge(
+    batch: DataFrame, target: DataFrame, batch_id: str, strategy: str = "latest_wins",
+    settings: Settings = DEFAULTS,
+) -> Merge:
+    """One batch into a keyed frame, as one plan. ``target`` needs ``id_house``, ``url`` and
+    ``fecha`` (a date)."""
+    rows, small = numbered(batch, target, batch_id, settings)
+    # One row per url by construction, and measured.
+    kept = rows.select(F.col("url").alias("_key"), F.struct(*rows.columns).alias("_new"))
+    merged = merge_rows(target, kept, rows.columns, "url", "fecha", strategy, ["id_house"], small)
     return Merge(merged, duplication_stats(batch, "url", settings.max_duplicate_ratio))
 
 
-def merge_into_table(spark: SparkSession, batch: DataFrame, table: str, batch_id: str,
-                     strategy: str = "latest_wins", settings: Settings = DEFAULTS) -> DataFrame:
-    """``dedup_merge`` on a snapshot table: the batch becomes its next version, and the
-    counts per action come back. A batch that is already published is not applied
-    again."""
-    done = snapshots.latest_version(spark, table)
-    if done is None:
-        empty = "id_house long, fecha date, " + ", ".join(
-            f"{c} string" for c in schemas.RAW_RENAMED.fieldNames() if c != "fecha"
-        ) + ", ingestion_timestamp timestamp, batch_id string"
-        target = spark.createDataFrame([], empty)
-    else:
-        target = snapshots.read_snapshot(spark, table, done).drop("_action")
-        if batch_id <= done:
-            return merge_stats(target.limit(0).withColumn("_action", F.lit("")))
-    merge = dedup_merge(batch, target, batch_id, strategy, settings)
-    path = snapshots.write_snapshot(merge.rows, table, batch_id)
-    return merge_stats(spark.read.parquet(path))
+KEYED = "id_house long, fecha date, " + ", ".join(
+    f"{c} string" for c in schemas.RAW_RENAMED.fieldNames() if c != "fecha"
+) + ", ingestion_timestamp timestamp, batch_id string"
+
+
+def merge_into_table(spark: SparkSession, batch: DataFrame, table: str, batch_id: str, strategy: str = "latest_wins",
+                     settings: Settings = DEFAULTS, mark: str | None = None) -> DataFrame:
+    """One batch into the table in partitions (department, city); only the partitions its
+    rows are in, or were in, are written. The counts per action come back.
+
+    ``batch_id`` is lineage and says nothing about age: that is what ``fecha`` is for. Give
+    a ``mark`` where a batch may be sent again; a mark that was applied is not applied
+    twice.
+    """
+    require_valid(batch, ("url", "fecha"), "batch")
+    by = settings.partition_columns
+    if mark is not None and partitioned.is_applied(spark, table, mark, by):
+        return merge_stats(spark.createDataFrame([], "_action string"))
+    current = partitioned.read_current(spark, table, by)
+    rows, _ = numbered(batch, spark.createDataFrame([], KEYED) if current is None else current, batch_id, settings)
+    if current is None:
+        rows = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(t).alias(c)
+                             for c, t in spark.createDataFrame([], KEYED).dtypes])
+    return partitioned.upsert_partitions(spark, table, rows, mark, "url", by, "fecha", strategy)
 
 
 # --- silver -----------------------------------------------------------------------
@@ -245,7 +259,7 @@ def run_sources(spark: SparkSession, jobs: Mapping[str, Callable[[], object]], l
         try:
             rows.append((run, source, "success", str(job() or "")))
         except Exception as e:  # noqa: BLE001 - the outcome is the result
-            rows.append((run, source, "failed", "".join(traceback.format_exception_only(e))[:2000]))
+            rows.append((run, source, "failed", "".join(traceback.format_exception_only(e))))
     failed = sum(r[2] == "failed" for r in rows)
     status = "success" if not failed else "failed" if failed == len(rows) else "partial_failure"
     rows.append((run, "", status, f"{len(rows) - failed} of {len(rows)} sources"))

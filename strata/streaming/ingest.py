@@ -6,14 +6,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from strata.config import DEFAULTS
 from strata.operators.dedup import latest_per_key
 from strata.operators.quality import quality_by_window
-from strata.operators.upsert import upsert
-from strata.sources import partitioned, snapshots
+from strata.plans import flows
+from strata.sources import partitioned
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | str, files_per_trigger: int | None = None) -> DataFrame:
@@ -36,43 +36,22 @@ def first_per_key(stream: DataFrame, key: str, ts: str, delay: str = "1 hour") -
 
 
 def upsert_stream(
-    stream: DataFrame, table: str, checkpoint: str, key: str = "url", version: str = "fecha",
-    strategy: str = "latest_wins",
+    stream: DataFrame, table: str, checkpoint: str, by: Sequence[str] = DEFAULTS.partition_columns,
+    key: str = "url", version: str = "fecha", strategy: str = "latest_wins", name: str | None = None,
 ) -> StreamingQuery:
-    """Newest row per key of every micro-batch into a snapshot table.
+    """Newest row per key of every micro-batch into a table in partitions; a micro-batch
+    rewrites only those it touches. Keys are trimmed and unusable rows left out, as in a
+    batch.
 
-    The number of the micro-batch is the number of the version it produces. A replayed
-    micro-batch starts from the version before its own and writes the same one again.
+    The mark of a micro-batch is the stream's name (its checkpoint folder, if none is
+    given) and its number, so a replayed one changes nothing, and another stream's first
+    one is not taken for it.
     """
+    stream_name = name or checkpoint
 
     def apply(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        mine = f"{number:020d}"
-        log = snapshots.versions(spark, table).filter(F.col("version") < mine)
-        before = log.agg(F.max("version")).first()[0]
-        best = latest_per_key(batch, key, version)
-        if before is None:
-            rows = best
-        else:
-            rows = upsert(snapshots.read_snapshot(spark, table, before), best, key, version, strategy).drop("_action")
-        snapshots.write_snapshot(rows, table, mine)
-
-    return (
-        stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-
-
-def upsert_partitioned_stream(
-    stream: DataFrame, table: str, checkpoint: str, by: Sequence[str], key: str = "url",
-    version: str = "fecha", strategy: str = "latest_wins",
-) -> StreamingQuery:
-    """As above on a partitioned table: a micro-batch rewrites only the partitions it
-    touches. A replayed one is in the log already and changes nothing."""
-
-    def apply(batch: DataFrame, number: int) -> None:
-        best = latest_per_key(batch, key, version)
-        partitioned.upsert_partitions(batch.sparkSession, table, best, f"{number:020d}", key, by, version, strategy)
+        rows = latest_per_key(flows.prepared(batch, key, version), key, version)
+        partitioned.upsert_partitions(batch.sparkSession, table, rows, f"{stream_name}#{number}", key, by, version, strategy)
 
     return (
         stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
