@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,19 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return docs.select(F.col(key).cast("long").alias("doc_id"), or_empty(text).alias("text"))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
+    """Rows that go to Python at once, for jobs that run within; whole texts and sets make
+    wide rows, and a batch of them is held on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def or_empty(column: str | Column) -> Column:
     c = F.col(column) if isinstance(column, str) else column
     return F.coalesce(c.cast("string"), F.lit(""))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import or_empty, parts
+from strata.llm.common import or_empty, parts, small_batches
 from strata.plans.sizing import broadcast_if_small, materialize
 
 OTHER = "und"
@@ -211,7 +211,8 @@ def accepted_documents(documents: DataFrame) -> DataFrame:
     rows = documents.select(*held, or_empty("text").alias("text"), F.col("source").cast("string").alias("host"),
                             F.lit(None).cast("string").alias("domain"), F.lit(None).cast("string").alias("suffix"), _tag(F.col("lang")).alias("declared"))
     model = train(rows.select("text", F.col("declared").alias("language")))
-    found = identify(rows, model).filter("language is not null")
+    with small_batches(documents.sparkSession):
+        found = identify(rows, model).filter("language is not null")
     return found.select(*[F.col("language" if c == "lang" else f"_c{i}").alias(c) for i, c in enumerate(documents.columns)])
 
 

@@ -24,10 +24,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import parts, texts
+from strata.llm.common import parts, small_batches, texts
 from strata.llm.words import groups, mix, shingle_sets
 from strata.plans.sizing import broadcast_if_small, materialize
 
@@ -223,6 +223,20 @@ def _meeting(table: pa.Table, percent: int, long_key: int | None):
 _STORED = pa.schema([("set_id", _I64), ("n", _I64), ("home", _I64), ("block", _I64), ("bits", pa.binary()), ("tokens", pa.binary())])
 
 
+CELL = 6  # bytes of a shingle in a stored set: what tells apart the shingles of two sets
+
+
+def packed(s: np.ndarray) -> bytes:
+    return s.view(np.uint8).reshape(-1, 8)[:, :CELL].tobytes()
+
+
+def unpacked(raw) -> np.ndarray:
+    cells = np.frombuffer(raw, np.uint8).reshape(-1, CELL)
+    out = np.zeros((len(cells), 8), np.uint8)
+    out[:, :CELL] = cells
+    return out.view(np.uint64).ravel()
+
+
 def bitmap(s: np.ndarray) -> np.ndarray:
     """Bytes of a bitmap with a bit for every shingle; some three bits or more for each."""
     size = 1 << max(6, int(3 * len(s)).bit_length())
@@ -250,7 +264,7 @@ def stored_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             for at, part in groups(cols["text"]):
                 for i, s in enumerate(shingle_sets(part, k), at):
                     if _set_id(s) == cols["set_id"][i]:
-                        out.append((cols["set_id"][i], len(s), cols["home"][i], cols["block"][i], bitmap(s).tobytes(), s.tobytes()))
+                        out.append((cols["set_id"][i], len(s), cols["home"][i], cols["block"][i], bitmap(s).tobytes(), packed(s)))
             if out:
                 yield _batch(_STORED, zip(*out))
 
@@ -300,7 +314,7 @@ def home_components(stored: DataFrame, percent: int) -> DataFrame:
     after the other."""
     def solve(rows):
         names = [r[0] for r in rows]
-        label = block_components([np.frombuffer(r[1], np.uint64) for r in rows], percent) if len(rows) > 1 else np.zeros(1, int)
+        label = block_components([unpacked(r[1]) for r in rows], percent) if len(rows) > 1 else np.zeros(1, int)
         smallest: dict[int, int] = {}
         for x, name in zip(label.tolist(), names):
             smallest[x] = min(name, smallest.get(x, name))
@@ -352,7 +366,7 @@ def linked_pairs(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame
         return (100 + percent) * most_shared(np.frombuffer(x, np.uint8), n, np.frombuffer(y, np.uint8), m) >= percent * (n + m)
 
     def alike(n, m, x, y):
-        both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
+        both = np.concatenate([unpacked(x), unpacked(y)])
         both.sort(kind="stable")
         return (100 + percent) * int(np.count_nonzero(both[1:] == both[:-1])) >= percent * (n + m)
 
@@ -375,15 +389,23 @@ def components(edges: DataFrame) -> DataFrame:
         hung = down.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         return hung.unionByName(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 
-    now = materialize(edges.filter("a <> b").distinct())
+    now, before = _digested(edges.filter("a <> b").distinct())
     while True:
-        after = materialize(small(large(now)))
-        if after.exceptAll(now).isEmpty() and now.exceptAll(after).isEmpty():
+        after, digest = _digested(small(large(now)))
+        if digest == before:
             break
+        before = digest
         now = after
     return after.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def _digested(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """Distinct edges, written once, with what tells two sets of edges apart."""
+    seen, h = Observation(), F.xxhash64("a", "b")
+    kept = materialize(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("s")))
+    return kept, (seen.get["n"], seen.get["x"], seen.get["s"])
+
+
 def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
     """Component labels after linking the components of ``a, b`` (set ids)."""
     by = comps.select("set_id", "comp")
@@ -448,8 +470,11 @@ def jaccard_components(documents: DataFrame, k: int = 4, percent: int = 85) -> D
     repeated rows are repeated in the result. An empty table gives no rows. Other columns
     are ignored.
     """
-    spark: SparkSession = documents.sparkSession
-    docs = texts(documents)
+    with small_batches(documents.sparkSession):
+        return _components_of(documents.sparkSession, texts(documents), k, percent)
+
+
+def _components_of(spark: SparkSession, docs: DataFrame, k: int, percent: int) -> DataFrame:
     found = materialize(profile(docs, k))
     rows = found.filter("n is not null")
     named = rows.filter("doc_id is not null and n > 0")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import parts, texts
+from strata.llm.common import parts, small_batches, texts
 from strata.plans.sizing import materialize
 
 WINDOW = 2048
@@ -241,7 +241,9 @@ def pack(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     document, repeated and null ids included. An empty table gives no rows. Other columns
     are ignored.
     """
-    return place(materialize(cut(documents, window)), window)
+    with small_batches(documents.sparkSession):
+        pieces = materialize(cut(documents, window))
+    return place(pieces, window)
 
 
 def sequences(documents: DataFrame, packed: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataFrame:
