@@ -126,3 +126,9 @@ select bin, round(lo + bin * width, 6) as low, round(lo + (bin + 1) * width, 6)
 from s group by bin, lo, width""")
 def _(t: Tables):
     return rounded(aggregates.histogram(t.view("v_batch").select("precio"), "precio", 20), 6)
+
+
+@query("first_n_listings", cte("v_listing") + "select id_house, url, precio from v_listing order by precio desc, id_house limit 25")
+def _(t: Tables):
+    """The first rows of an order are the feature."""
+    return aggregates.first_n(t.view("v_listing").select("id_house", "url", "precio"), 25, F.desc("precio"), F.asc("id_house"))

@@ -81,11 +81,12 @@ select l_orderkey, l_linenumber,
  concat(cast(l_linenumber as string), ' habitaciones') as hab_txt,
  cast(l_linenumber % 4 + 1 as string) as banos_txt,
  concat('$ ', cast(cast(floor(l_extendedprice) as bigint) as string)) as precio_txt
-from lineitem where l_orderkey % 13 <> 0""",
+from lineitem""",
     # Texts of a raw listing, before they are put together as JSON.
     "v_text": """
 select o_orderkey, o_custkey, concat('/l/', cast(o_orderkey as string)) as url,
- substr(cast(o_orderdate as string), 1, 19) as fecha,
+ concat(cast(cast(o_orderdate as date) as string), ' ', lpad(cast(hour(o_orderdate) as string), 2, '0'), ':',
+  lpad(cast(minute(o_orderdate) as string), 2, '0'), ':', lpad(cast(cast(floor(second(o_orderdate)) as int) as string), 2, '0')) as fecha,
  concat('Casa "', o_orderpriority, '", ', o_clerk) as titulo, o_clerk as constructor,
  case when o_orderkey % 7 = 0 then 'No disponible' else 'Si' end as financiacion,
  cast(o_custkey % 6 + 1 as string) as estrato,

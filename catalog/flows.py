@@ -93,8 +93,6 @@ h as ({hex_sql('s', '*').replace('select *, case when', 'select id_house, url, d
 select h.*, """ + ", ".join(f"coalesce({c}, 0) as {c}" for c in POI) + " from h left join cells on h.hex_id = cells.hex_id")
 def _(t: Tables):
     rows = t.sql(KEYED_ROWS).join(t.sql(UNIT_TEXTS).withColumnRenamed("o_orderkey", "id_house"), "id_house")
-    # Parsing is the costly part, and raw files are many: spread what one small file gives.
-    rows = rows.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")))
     clean = flows.silver_clean(rows, places.poi_counts(elements(t), t.spark, CELL_KM), settings=SETTINGS)
     return clean.select(
         "id_house", "url", "department", "city", "estrato", "estado", "tipo_de_inmueble", "parqueaderos", "financiacion",

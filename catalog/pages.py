@@ -51,8 +51,7 @@ from v_text left join u on o_orderkey = l_orderkey"""
 
 
 def detail(t: Tables):
-    """Parsing a page costs far more than moving it, so pages are spread over all tasks."""
-    return t.sql(DETAIL).repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    return t.sql(DETAIL)
 
 
 @query("page_facts", cte("v_text") + """
@@ -82,8 +81,8 @@ INDEX = cte("v_text") + """
 select page_id, concat('https://listings.example/venta/', cast(page_id as string)) as url,
  concat('<div class="search-page-container"><section class="listingsWrapper">', array_join(transform(array_sort(collect_list(struct(o_orderkey, card))), x -> x.card), ''),
  '</section></div><ul class="list"><li class="ant-pagination-prev"><a>‹</a></li>',
- array_join(transform(sequence(1, cast(count(*) as int)), i -> concat('<li class="ant-pagination-item ant-pagination-item-',
-  cast(i as string), '"><a>', cast(i as string), '</a></li>')), ''), '<li class="ant-pagination-next"><a>›</a></li></ul>') as html
+ case when page_id % 5 = 0 then '' else array_join(transform(sequence(1, cast(count(*) as int)), i -> concat('<li class="ant-pagination-item ant-pagination-item-',
+  cast(i as string), '"><a>', cast(i as string), '</a></li>')), '') end, '<li class="ant-pagination-next"><a>›</a></li></ul>') as html
 from (select cast(floor(o_orderkey / 20) as bigint) as page_id, o_orderkey, concat('<div class="listingCard CO"><div class="lc-dataWrapper">',
   '<a class="lc-data" href="', url, '" title="Casa ', estado, ' &amp; patio">ver</a>',
   case when has_info = 1 then concat('<div class="publisher">por <strong>', constructor, '</strong></div>') else '' end,
@@ -100,7 +99,7 @@ def _(t: Tables):
 @query("crawl_frontier", cte("v_text") + """, n as (select cast(floor(o_orderkey / 20) as bigint) as page_id, count(*) as n from v_text group by 1)
 select page_id, cast(i as int) as page,
  concat('https://listings.example/venta/', cast(page_id as varchar), '/pagina', cast(i as varchar)) as url
-from (select page_id, unnest(generate_series(1, n)) as i from n) x""")
+from (select page_id, unnest(generate_series(1, case when page_id % 5 = 0 then 1 else n end)) as i from n) x""")
 def _(t: Tables):
     return pages.crawl_frontier(t.sql(INDEX))
 

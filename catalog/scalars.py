@@ -207,3 +207,9 @@ def _(t: Tables):
     nested = t.sql("""select l_orderkey, l_linenumber, array(named_struct('item', 'quantity', 'amount', l_quantity),
         named_struct('item', 'price', 'amount', l_extendedprice)) as elements from lineitem""")
     return nested.select("l_orderkey", "l_linenumber", F.inline("elements"))
+
+
+@query("flt_numeric_text", cte("v_raw") + r"""
+select id_house, area_txt, estrato_txt from v_raw where regexp_matches(estrato_txt, '^[0-9]+$')""")
+def _(t: Tables):
+    return t.view("v_raw").filter(text.numeric_text(F.col("estrato_txt"))).select("id_house", "area_txt", "estrato_txt")

@@ -12,7 +12,7 @@ from catalog.places import elements
 from strata.functions.geo import morton
 from strata.operators import features, summary
 from strata.operators.projection import rename
-from strata.plans.sizing import scratch_path
+from strata.plans.sizing import measured, scratch_path
 from strata.sources import files, layout, snapshots
 
 # A raw listing file: multi-line JSON cells with quotes and commas in them.
@@ -120,7 +120,8 @@ def _(t: Tables):
 def _(t: Tables):
     """Clustering by text and time moves rows and loses none."""
     path = scratch_path(t.spark, "clustered")
-    layout.compact(t.view("v_batch"), path, ["url", "fecha"], total_bytes=4 * 1024 * 1024, file_bytes=1024 * 1024)
+    rows, size = measured(t.view("v_batch"))
+    layout.compact(rows, path, ["url", "fecha"], total_bytes=size)
     return t.spark.read.parquet(path)
 
 

@@ -18,12 +18,17 @@ KM_PER_DEGREE = 111.1949
 REFERENCE_PARALLEL = 6.0
 
 
+def _finite(c: Column) -> Column:
+    """Null for what reads as a number but is no place."""
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
+
+
 def point_lat(c: Column) -> Column:
-    return F.regexp_extract(c, POINT_LAT, 1).try_cast("double")
+    return _finite(F.regexp_extract(c, POINT_LAT, 1).try_cast("double"))
 
 
 def point_lon(c: Column) -> Column:
-    return F.regexp_extract(c, POINT_LON, 1).try_cast("double")
+    return _finite(F.regexp_extract(c, POINT_LON, 1).try_cast("double"))
 
 
 def box_midpoint(url: Column) -> Column:

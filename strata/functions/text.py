@@ -95,8 +95,19 @@ def sentinel(c: Column) -> Column:
     return F.when(blank, F.lit(NOT_AVAILABLE)).otherwise(F.trim(c))
 
 
+def unescaped(c: Column) -> Column:
+    """Text of an attribute without the entities that links carry."""
+    for entity, sign in (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        c = F.replace(c, F.lit(entity), F.lit(sign))
+    return c
+
+
 def absolute_url(base: Column, href: Column) -> Column:
-    whole = F.when(href.rlike("^[a-z][a-z0-9+.-]*://"), href).otherwise(F.concat(base, href))
+    """A link with a scheme of any kind stays; one without takes that of the base; a
+    missing one is the sentinel; any other is put behind the base."""
+    scheme = F.regexp_extract(base, "^[^/]*", 0)
+    whole = (F.when(href.rlike("(?i)^[a-z][a-z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(scheme, href))
+             .otherwise(F.concat(base, href)))
     return F.when(href.isNull() | (href == ""), F.lit(NOT_AVAILABLE)).otherwise(whole)
 
 

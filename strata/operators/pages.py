@@ -106,17 +106,33 @@ def _content(html: str | None, at: Mapping[str, str]) -> dict:
     )
     if not html:
         return out | {"error": "no content"}
-    page = tree(html)
-    units, from_table = _units(page, at)
-    lines = [p.text() for p in page.all(at["address"])]
-    return out | {
-        "facts": _pairs(_facts(page, at)),
-        "sheet": _pairs(_sheet(page, at)),
-        "units": [_pairs(u) for u in units],
-        "table_units": from_table,
-        "direccion_principal": lines[1] if len(lines) > 1 else None,
-        "direccion_asociadas": lines[3] if len(lines) > 3 else None,
-    }
+    try:
+        page = tree(html)
+    except Exception as e:  # noqa: BLE001 - a page that cannot be read is a row with its error
+        return out | {"error": f"{type(e).__name__}: {e}"}
+
+    def facts() -> None:
+        out["facts"] = _pairs(_facts(page, at))
+
+    def sheet() -> None:
+        out["sheet"] = _pairs(_sheet(page, at))
+
+    def units() -> None:
+        found, from_table = _units(page, at)
+        out["units"], out["table_units"] = [_pairs(u) for u in found], from_table
+
+    def lines() -> None:
+        found = [p.text() for p in page.all(at["address"])]
+        out["direccion_principal"] = found[1] if len(found) > 1 else None
+        out["direccion_asociadas"] = found[3] if len(found) > 3 else None
+
+    failed = []
+    for part in (facts, sheet, units, lines):
+        try:
+            part()
+        except Exception as e:  # noqa: BLE001 - the other parts of the page are kept
+            failed.append(f"{part.__name__}: {type(e).__name__}: {e}")
+    return out | {"error": "; ".join(failed) or None}
 
 
 def content_of(selectors: Mapping[str, str] = SELECTORS):
@@ -135,7 +151,11 @@ def cards_of(selectors: Mapping[str, str] = SELECTORS):
 
     def cards(html: str | None) -> list[dict]:
         out = []
-        for card in tree(html or "").all(selectors["card"]):
+        try:
+            page = tree(html or "")
+        except Exception:  # noqa: BLE001 - a page that cannot be read has no cards
+            return out
+        for card in page.all(selectors["card"]):
             if not all(w in (card.attrs.get("class") or "") for w in CARD_WORDS):
                 continue
             link, publisher = card.first(selectors["card_link"]), card.first(selectors["card_publisher"])
@@ -194,7 +214,7 @@ def page_title(pages: DataFrame) -> DataFrame:
 def page_links(pages: DataFrame, base: str | None = None) -> DataFrame:
     """(page_id, href) of every link, made absolute when a base is given."""
     hrefs = pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1))).alias("href"))
-    return hrefs if base is None else hrefs.withColumn("href", text.absolute_url(F.lit(base), F.col("href")))
+    return hrefs if base is None else hrefs.withColumn("href", text.absolute_url(F.lit(base), text.unescaped(F.col("href"))))
 
 
 def listing_cards(pages: DataFrame, base: str, selectors: Mapping[str, str] = SELECTORS) -> DataFrame:
@@ -212,12 +232,13 @@ def page_count(html: Column) -> Column:
     """Largest numeric page item of an index page; the last page carries it wherever it
     stands in the list."""
     items = F.regexp_extract_all(html, F.lit(PAGE_ITEM), F.lit(1))
-    return F.array_max(F.transform(items, lambda i: i.try_cast("int")))
+    return F.array_max(F.transform(F.filter(items, text.numeric_text), lambda i: i.try_cast("int")))
 
 
 def crawl_frontier(pages: DataFrame, pattern: str = "%s/pagina%d") -> DataFrame:
-    """(page_id, page, url): one row per page of every index."""
-    counted = pages.select("page_id", "url", page_count(F.col("html")).alias("_n")).filter("_n >= 1")
+    """(page_id, page, url): one row per page of every index; one that shows no page
+    numbers has one page."""
+    counted = pages.select("page_id", "url", F.greatest(F.coalesce(page_count(F.col("html")), F.lit(1)), F.lit(1)).alias("_n"))
     each = counted.select("page_id", "url", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("page"))
     return each.select("page_id", "page", F.format_string(pattern, "url", "page").alias("url"))
 
@@ -254,7 +275,8 @@ def page_record(
     units = F.when(F.col("table_units"), F.to_json(F.transform(maps, lambda m: F.to_json(m)))).otherwise(F.to_json(maps))
     sheet = F.when(~(has_facts & has_units), F.to_json(F.map_from_entries("sheet")))
     blank = lambda c: F.coalesce(c, F.lit(""))
-    titled = cards.select("url", "titulo", "constructor").dropDuplicates(["url"])
+    # Of several cards of a page, the same one on every run.
+    titled = cards.groupBy("url").agg(F.min(F.struct("titulo", "constructor")).alias("_t")).select("url", "_t.*")
     point = F.format_string("(%s, %s)", F.col("lat").cast("string"), F.col("lon").cast("string"))
     return (
         content.join(titled, "url", "left").join(locations, "page_id", "left").select(

@@ -43,7 +43,10 @@ def way_geometry(osm: DataFrame) -> DataFrame:
 
 def union_poi(nodes: DataFrame, ways: DataFrame) -> DataFrame:
     """Elements of both kinds, each once by type and id."""
-    return nodes.unionByName(ways, allowMissingColumns=True).dropDuplicates(["type", "id"])
+    both = nodes.unionByName(ways, allowMissingColumns=True)
+    whole = F.struct(*both.columns)
+    # Of unlike elements of one name, the same one on every run.
+    return both.groupBy("type", "id").agg(F.min_by(whole, F.xxhash64(whole)).alias("_e")).select("_e.*")
 
 
 def located(osm: DataFrame) -> DataFrame:

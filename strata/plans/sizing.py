@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -16,11 +17,12 @@ from strata.config import DEFAULTS
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    Only a session whose tasks run in the driver's own process gets a folder of its own
+    where that setting is missing.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         named = _local_dir()
     return named

@@ -44,11 +44,9 @@ def read_osm_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """Header, doubled quotes, one folder per value of ``by``.
-
-    No repartition: a hot city is written by all tasks that hold its rows.
-    """
-    writer = df.write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True)
+    """Header, doubled quotes, one folder per value of ``by``. Rows of a folder are brought
+    together, and a hot one is split over several tasks."""
+    writer = (df.hint("rebalance", *by) if by else df).write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True)
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 
@@ -68,13 +66,13 @@ def write_json_rows(df: DataFrame, path: str) -> None:
 
 def append_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
                 connections: int = 16, batch: int = 10_000) -> None:
-    """Append to a relational table over at most ``connections`` connections.
+    """Append to a relational table; the writer opens at most ``connections`` at once.
 
     A task is one transaction, but a task repeated after its commit adds its rows
     again; keep ``batch_id`` in the table to find such rows.
     """
     (
-        df.coalesce(connections).write.option("batchsize", batch).option("isolationLevel", "READ_COMMITTED")
+        df.write.option("numPartitions", connections).option("batchsize", batch).option("isolationLevel", "READ_COMMITTED")
         .jdbc(url, table, mode="append", properties=dict(properties or {}))
     )
 

@@ -42,7 +42,8 @@ def latest_version(spark: SparkSession, table: str, not_after: str | None = None
 def write_snapshot(df: DataFrame, table: str, version: str, by: Sequence[str] = ()) -> str:
     """Write and publish a version; its path is returned."""
     path = f"{table}/v={version}"
-    writer = df.write.mode("overwrite")
+    # Else every task would write a file into every folder.
+    writer = (df.hint("rebalance", *by) if by else df).write.mode("overwrite")
     (writer.partitionBy(*by) if by else writer).parquet(path)
     entry = df.sparkSession.range(1).select(
         F.lit(version).alias("version"), F.current_timestamp().alias("published_at")

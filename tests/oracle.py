@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -62,7 +63,7 @@ def session(name: str = "strata-check", cpus: str = "8"):
         SparkSession.builder.master(f"local[{cpus}]").appName(name)
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g")
-        .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.enabled", "true").config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='strata-')}")
         # Recording the call site of every expression doubles the time to build a plan.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     )

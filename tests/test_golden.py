@@ -251,8 +251,8 @@ def test_pages_that_fail_stay(rows):
 def test_page_numbers(rows):
     html = '<ul class="list"><li class="ant-pagination-item a"><a>2</a></li><li class="ant-pagination-item">11</li><li class="ant-pagination-next">x</li></ul>'
     df = rows("page_id long, url string, html string", [(1, "h/c", html), (2, "h/d", "<p>none")])
-    got = pages.crawl_frontier(df).orderBy("page").collect()
-    assert len(got) == 11 and got[-1].url == "h/c/pagina11"
+    got = pages.crawl_frontier(df).orderBy("page", "url").collect()
+    assert len(got) == 12 and got[-1].url == "h/c/pagina11" and got[1].url == "h/d/pagina1"
 
 
 def test_run_log_keeps_going(spark, tmp_path):
