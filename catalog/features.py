@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalog.aggregates import counts_sql, describe_sql, rounded
 from catalog.base import Tables, cte, query
 from strata.operators import features, summary
@@ -65,6 +67,15 @@ def _(t: Tables):
     return features.one_hot(t.view("v_listing").select("id_house", "estado", "department"), ["estado", "department"])
 
 
+@query("feat_one_hot_sparse", cte("v_listing") + """
+select id_house, 'url' as "column", url as value from v_listing where url <> (select min(url) from v_listing)
+union all select id_house, 'estado', estado from v_listing where estado <> (select min(estado) from v_listing)""")
+def _(t: Tables):
+    """As many categories as listings; read back by the names of the slots."""
+    rows, slots = features.one_hot_sparse(t.view("v_listing").select("id_house", "url", "estado"), ["url", "estado"])
+    return rows.select("id_house", F.explode("hot").alias("slot")).join(slots, "slot").select("id_house", "column", "value")
+
+
 DATASET = f"""select distinct {DATASET_COLUMNS} from v_listing
 where precio between 100000 and 400000 and area_construida between 20 and 200"""
 

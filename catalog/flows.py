@@ -93,8 +93,9 @@ h as ({hex_sql('s', '*').replace('select *, case when', 'select id_house, url, d
 select h.*, """ + ", ".join(f"coalesce({c}, 0) as {c}" for c in POI) + " from h left join cells on h.hex_id = cells.hex_id")
 def _(t: Tables):
     rows = t.sql(KEYED_ROWS).join(t.sql(UNIT_TEXTS).withColumnRenamed("o_orderkey", "id_house"), "id_house")
-    clean = flows.silver_clean(rows, places.poi_counts(elements(t), t.spark, CELL_KM), settings=SETTINGS)
-    return clean.select(
+    done = flows.silver(t.spark, rows, places.poi_counts(elements(t), t.spark, CELL_KM), scratch_path(t.spark, "silver"),
+                        "2025-05-01_00-00-00", settings=SETTINGS)
+    return done.rows.select(
         "id_house", "url", "department", "city", "estrato", "estado", "tipo_de_inmueble", "parqueaderos", "financiacion",
         "pisos_interiores", "banos", "habitaciones", "area_construida", "area_privada", "precio", "lat", "lon", "hex_id", *POI,
     )

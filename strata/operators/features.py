@@ -93,6 +93,12 @@ def gold_features(df: DataFrame, target: str = "precio", k: float = DEFAULTS.iqr
     return iqr_filter(engineer(materialize(gold_dataset(df, **bounds))), target, k, written=True)
 
 
+def _codes(df: DataFrame, column: str) -> DataFrame:
+    """``_text, _code``: the distinct texts of a column, numbered from 0 in their order."""
+    texts = df.select(quoted(column).cast("string").alias("_text")).filter(F.col("_text").isNotNull()).distinct()
+    return assign_ids(texts, "_text", column="_code", start=0)
+
+
 def label_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Each text by its place among the sorted distinct texts, from 0.
 
@@ -100,8 +106,7 @@ def label_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     the code table is broadcast only if its measured size allows. Null stays null.
     """
     for c in columns:
-        texts = df.select(quoted(c).cast("string").alias("_text")).filter(F.col("_text").isNotNull()).distinct()
-        codes = broadcast_if_small(assign_ids(texts, "_text", column="_code", start=0))
+        codes = broadcast_if_small(_codes(df, c))
         df = (
             df.withColumn("_text", quoted(c).cast("string"))
             .join(codes, "_text", "left")
@@ -115,7 +120,7 @@ def categories(df: DataFrame, column: str, limit: int = DEFAULTS.max_categories)
     """Sorted distinct texts of a column, refused above ``limit``."""
     rows = df.select(quoted(column).cast("string")).distinct().dropna().limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} categories; use label_encode")
+        raise ValueError(f"{column} has more than {limit} categories; use one_hot_sparse")
     return sorted(r[0] for r in rows)
 
 
@@ -132,3 +137,27 @@ def one_hot(
             F.when(quoted(c).cast("string") == v, 1).otherwise(0).alias(f"{c}_{v}") for v in sorted(values)[1:]
         ]
     return df.select(*[quoted(c) for c in df.columns if c not in have], *flags)
+
+
+def one_hot_sparse(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> tuple[DataFrame, DataFrame]:
+    """The same encoding for any number of categories: instead of a column for each, a list
+    ``hot`` of the slots that are 1, and a table ``column, value, slot`` that names the slots.
+    The first sorted value of a column has no slot, null has none, the source columns go.
+
+    Slots of a column follow those of the one before it; values are numbered by range
+    partitions and never collected.
+    """
+    have = [c for c in columns if c in df.columns]
+    rest = [c for c in df.columns if c not in have]
+    slots, held, offset = [], [], 0
+    for i, c in enumerate(have):
+        named = materialize(_codes(df, c).filter("_code > 0").select(
+            F.lit(c).alias("column"), F.col("_text").alias("value"), (F.col("_code") - 1 + F.lit(offset)).alias("slot")))
+        side = broadcast_if_small(named.select(F.col("value").alias(f"_v{i}"), F.col("slot").alias(f"_s{i}")))
+        df = df.join(side, quoted(c).cast("string") == F.col(f"_v{i}"), "left").drop(f"_v{i}")
+        slots.append(named)
+        held.append(F.col(f"_s{i}"))
+        offset += named.count()
+    hot = F.array_compact(F.array(*held)) if held else F.array().cast("array<long>")
+    empty = df.sparkSession.createDataFrame([], "column string, value string, slot long")
+    return df.select(*[quoted(c) for c in rest], hot.alias("hot")), reduce(DataFrame.unionByName, slots, empty)

@@ -16,7 +16,7 @@ from strata.functions import geo, json, text
 from strata.operators import places, projection
 from strata.operators.aggregates import distinct_stats, duplication_stats
 from strata.operators.dedup import latest_per_key
-from strata.operators.features import engineer, gold_dataset, one_hot
+from strata.operators.features import engineer, gold_dataset, one_hot_sparse
 from strata.operators.filters import iqr_filter, require_key
 from strata.operators.ids import assign_ids
 from strata.operators.quality import quality_report, require_valid
@@ -201,6 +201,28 @@ def silver_clean(df: DataFrame, counts: DataFrame, mode: str = "reference", sett
     return places.enrich_poi(typed(parsed(df), mode), counts, settings.cell_km)
 
 
+@dataclass(frozen=True)
+class Silver:
+    path: str
+    rows: DataFrame
+    report: DataFrame
+
+
+def silver(spark: SparkSession, listings: DataFrame, counts: DataFrame, table: str, batch: str | None = None,
+           mode: str = "reference", settings: Settings = DEFAULTS) -> Silver:
+    """Keyed listings to a snapshot of clean rows, checked for their columns and for having
+    rows, stamped with time and batch; the report is of what was written."""
+    batch = batch or run_id()
+    require_valid(listings, ("url", "full_info", "item", "unidades", "lat_lon"), "silver input")
+    clean = silver_clean(listings, counts, mode, settings).withColumns(
+        {"processing_timestamp": F.current_timestamp(), "batch_id": F.lit(batch)})
+    path = snapshots.write_snapshot(clean, table, batch)
+    rows = snapshots.read_snapshot(spark, table, batch)
+    bounds = {"precio": settings.price_bounds, "area_construida": settings.area_bounds}
+    plain = [n for n, t in rows.dtypes if n not in ("processing_timestamp", "batch_id") and not t.startswith(("array", "struct", "map"))]
+    return Silver(path, rows, quality_report(rows.select(*plain), bounds))
+
+
 # --- gold -------------------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -217,8 +239,9 @@ class Gold:
     def summary(self) -> DataFrame:
         return summary(self.features, written=True)
 
-    def encoded(self) -> DataFrame:
-        return one_hot(self.features, CATEGORICAL)
+    def encoded(self) -> tuple[DataFrame, DataFrame]:
+        """Features with their categories as slots, and the table of slots."""
+        return one_hot_sparse(self.features, CATEGORICAL)
 
     def report(self) -> DataFrame:
         bounds = {"precio": self.settings.price_bounds, "area_construida": self.settings.area_bounds}
@@ -231,6 +254,7 @@ def gold(df: DataFrame, settings: Settings = DEFAULTS) -> Gold:
     The data set is written once, since quartiles and filter both read it, and so are
     the features every output reads.
     """
+    require_valid(df, ("precio", "area_construida"), "gold input")
     dataset = materialize(gold_dataset(df, settings.price_bounds, settings.area_bounds))
     features = materialize(iqr_filter(engineer(dataset), "precio", settings.iqr_factor, written=True))
     return Gold(dataset, features, settings)
@@ -238,8 +262,10 @@ def gold(df: DataFrame, settings: Settings = DEFAULTS) -> Gold:
 
 def write_gold(result: Gold, base: str, version: str, by: Sequence[str] = DEFAULTS.partition_columns) -> dict[str, str]:
     """Features, encoding and views as snapshots, summary and report as JSON rows."""
-    paths = {"features": snapshots.write_snapshot(result.features, f"{base}/features", version, by=by)}
-    paths["encoded"] = snapshots.write_snapshot(result.encoded(), f"{base}/encoded", version)
+    stamped = result.features.withColumns({"processing_timestamp": F.current_timestamp(), "batch_id": F.lit(version)})
+    paths = {"features": snapshots.write_snapshot(stamped, f"{base}/features", version, by=by)}
+    for name, rows in zip(("encoded", "slots"), result.encoded()):
+        paths[name] = snapshots.write_snapshot(rows, f"{base}/{name}", version)
     for name in VIEWS:
         paths[name] = snapshots.write_snapshot(result.view(name), f"{base}/{name}", version)
     for name, rows in (("summary", result.summary()), ("report", result.report())):

@@ -85,10 +85,13 @@ def test_gold_writes_every_output(spark, tmp_path):
     t = Tables(spark, FOLDER)
     enriched = places.enrich_poi(t.view("v_listing"), places.cell_counts(t.view("v_poi"), CELL_KM), CELL_KM)
     paths = flows.write_gold(flows.gold(enriched, SETTINGS), str(tmp_path), "2025-05-01_00-00-00")
-    assert set(paths) == {"features", "encoded", "summary", "report", "price_by_department", "price_by_type", "area_analysis", "poi_analysis"}
+    assert set(paths) == {"features", "encoded", "slots", "summary", "report", "price_by_department", "price_by_type", "area_analysis", "poi_analysis"}
     features = snapshots.read_snapshot(spark, str(tmp_path / "features"))
     encoded = snapshots.read_snapshot(spark, str(tmp_path / "encoded"))
     assert features.count() == encoded.count() > 0 and "department" not in encoded.columns
+    assert {"processing_timestamp", "batch_id"} <= set(features.columns)
+    slots = snapshots.read_snapshot(spark, str(tmp_path / "slots"))
+    assert slots.count() == slots.select("slot").distinct().count() == slots.agg(F.max("slot")).first()[0] + 1
     assert spark.read.text(paths["summary"]).count() > 20
 
 
@@ -127,3 +130,20 @@ def test_bronze_takes_the_city_from_the_file(spark, tmp_path):
     merged = flows.merge_into_table(spark, done.rows, str(tmp_path / "t"), "2025-05-01_00-00-00")
     assert merged.first().asDict() == {"action": "inserted", "count": 1}
     assert partitioned.read_current(spark, str(tmp_path / "t")).first().city == "cali"
+
+
+def test_gold_encodes_any_number_of_cities(spark, tmp_path):
+    t = Tables(spark, FOLDER)
+    many = t.view("v_listing").withColumn("city", F.concat(F.lit("c"), (F.col("id_house") % 1_122).cast("string")))
+    enriched = places.enrich_poi(many, places.cell_counts(t.view("v_poi"), CELL_KM), CELL_KM)
+    wide = SETTINGS.__class__(price_bounds=(0, 1e12), area_bounds=(0, 1e9), cell_km=CELL_KM)
+    paths = flows.write_gold(flows.gold(enriched, wide), str(tmp_path), "2025-05-01_00-00-00")
+    assert spark.read.parquet(paths["slots"]).filter("column = 'city'").count() > 1_000 and spark.read.text(paths["report"]).count() > 0
+
+
+def test_stages_refuse_input_without_their_columns(spark, tmp_path):
+    few = spark.createDataFrame([("a",)], "url string")
+    for run in (lambda: flows.gold(few), lambda: flows.silver(spark, few, few, str(tmp_path / "s")),
+                lambda: flows.merge_into_table(spark, few, str(tmp_path / "t"), "1")):
+        with pytest.raises(ValueError):
+            run()
