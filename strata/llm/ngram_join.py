@@ -9,8 +9,8 @@ ones first; two sets with enough in common share a shingle among their first few
   The boundary is the size at which the sum of both costs is least. Large sets near enough
   to the boundary to have small partners enumerate subsets as well.
 * Equal sets are one set from the beginning; their documents are never paired.
-* Sets with the same first key are compared in a block by counting along the inverted
-  lists of all their shingles, which finds most components at once. What later meets in
+* Sets with the same most crowded key are compared in a block by counting along the
+  inverted lists of all their shingles, which finds most components at once. What later meets in
   other lists is compared only where it is not yet in one component: first all with one
   member of a list, then what is still apart.
 
@@ -24,7 +24,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import parts, small_batches, texts
@@ -121,8 +121,8 @@ def boundary(sizes: dict[int, int], list_length: float, percent: int) -> int:
     return min(best, top)
 
 
-_POSTING = pa.schema([("key", _I64), ("set_id", _I64), ("n", pa.int32()), ("at", pa.int32()), ("first", pa.bool_())])
-_POSTINGS = "key long, set_id long, n int, at int, first boolean"
+_POSTING = pa.schema([("key", _I64), ("set_id", _I64), ("n", pa.int32()), ("at", pa.int32())])
+_POSTINGS = "key long, set_id long, n int, at int"
 
 
 def _pair_keys(order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -156,16 +156,15 @@ def postings(docs: DataFrame, k: int, percent: int, limit: int, frequent) -> Dat
                 order = np.concatenate([s[~known], often[np.argsort(rank[where[known]], kind="stable")]]) if len(often) else s
                 if n > limit:
                     p = order[:n - keep + 1]
-                    out.append((p, np.full(len(p), name), n, np.arange(len(p)), True))
+                    out.append((p, np.full(len(p), name), n, np.arange(len(p))))
                 if n * percent <= 100 * limit:
                     keys, at = _pair_keys(order[:n - keep + 2])
-                    out.append((keys, np.full(len(keys), name), n, at, n <= limit))
+                    out.append((keys, np.full(len(keys), name), n, at))
             if out:
                 sizes = [len(o[0]) for o in out]
-                first = np.concatenate([np.arange(m) == 0 if o[4] else np.zeros(m, bool) for m, o in zip(sizes, out)])
                 yield _batch(_POSTING, [np.concatenate([o[0] for o in out]).view(np.int64), np.concatenate([o[1] for o in out]),
                                         np.repeat([o[2] for o in out], sizes).astype(np.int32),
-                                        np.concatenate([o[3] for o in out]).astype(np.int32), first])
+                                        np.concatenate([o[3] for o in out]).astype(np.int32)])
 
     return docs.mapInArrow(run, _POSTINGS)
 
@@ -223,7 +222,7 @@ def _meeting(table: pa.Table, percent: int, long_key: int | None):
 _STORED = pa.schema([("set_id", _I64), ("n", _I64), ("home", _I64), ("block", _I64), ("bits", pa.binary()), ("tokens", pa.binary())])
 
 
-CELL = 6  # bytes of a shingle in a stored set: what tells apart the shingles of two sets
+CELL = 5  # bytes of a shingle in a stored set: what tells apart the shingles of two sets
 
 
 def packed(s: np.ndarray) -> bytes:
@@ -377,7 +376,7 @@ def linked_pairs(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` of an undirected graph ``a, b``: root is the smallest node that can be
     reached. Alternating large-star and small-star steps; each sends a row per edge, keeps
-    only minima per node, and is stored, until nothing changes."""
+    only minima per node, and is stored, until all components are stars."""
     def large(e):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -389,21 +388,19 @@ def components(edges: DataFrame) -> DataFrame:
         hung = down.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         return hung.unionByName(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 
-    now, before = _digested(edges.filter("a <> b").distinct())
-    while True:
-        after, digest = _digested(small(large(now)))
-        if digest == before:
-            break
-        before = digest
-        now = after
-    return after.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    now = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    while not _is_stars(now):
+        now = materialize(small(large(now)))
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def _digested(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """Distinct edges, written once, with what tells two sets of edges apart."""
-    seen, h = Observation(), F.xxhash64("a", "b")
-    kept = materialize(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("s")))
-    return kept, (seen.get["n"], seen.get["x"], seen.get["s"])
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller node to hang on, which hangs on none: then that
+    is the smallest of its component."""
+    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    each = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return each.filter("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
 def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
@@ -425,18 +422,20 @@ def _enough(percent: int):
 def set_components(shared: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
     """``set_id, comp`` for every stored set."""
     comps = materialize(home_components(stored, percent))
+    # Where a set was compared already: equal for the sets of one block, else null.
+    spot = F.when(F.col("home").isNotNull(), F.xxhash64("home", "block"))
     lists = shared.select("key", "set_id", "n", "at")
     for step in range(STARS + 1):
-        marked = lists.join(comps, "set_id")
-        live = marked.groupBy("key").agg(F.min(F.struct("comp", "set_id", "n", "at", "home", "block")).alias("c"), F.max("comp").alias("hi"))
+        marked = lists.join(comps.select("set_id", "comp", spot.alias("spot")), "set_id")
+        live = marked.groupBy("key").agg(F.min(F.struct("comp", "set_id", "n", "at", "spot")).alias("c"), F.max("comp").alias("hi"))
         live = live.filter("c.comp < hi").select("key", "c")
-        marked = materialize(marked.join(live, "key"))
-        other = {"set_id": "a", "n": "n2", "at": "at2", "comp": "comp2", "home": "home2", "block": "block2"}
+        marked = materialize(marked.join(live if step < STARS else live.select("key"), "key"))
+        other = {"set_id": "a", "n": "n2", "at": "at2", "comp": "comp2", "spot": "spot2"}
         if step < STARS:
             met = marked.select("*", *[F.col(f"c.{x}").alias(y) for x, y in other.items()]).filter("comp <> comp2")
         else:
             met = marked.join(marked.select("key", *[F.col(x).alias(y) for x, y in other.items()]), "key").filter("comp < comp2")
-        tested = F.coalesce((F.col("home") == F.col("home2")) & (F.col("block") == F.col("block2")), F.lit(False))
+        tested = F.coalesce(F.col("spot") == F.col("spot2"), F.lit(False))
         pairs = met.filter(~tested & _enough(percent)).select("a", F.col("set_id").alias("b")).distinct()
         links = materialize(linked_pairs(pairs, stored, percent))
         if not links.isEmpty():
@@ -483,13 +482,13 @@ def _components_of(spark: SparkSession, docs: DataFrame, k: int, percent: int) -
     frequent = spark.sparkContext.broadcast(frequent_shingles(found))
     shared = materialize(shared_keys(postings(docs.filter("doc_id is not null"), k, percent, limit, frequent), percent))
 
-    # One document, and the block of its first key, for every set that shares some key.
-    homes = shared.filter("first").select("key", "set_id")
-    crowd = homes.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    blocks = homes.join(crowd, "key").select(
-        "set_id", F.col("key").alias("home"), F.pmod(F.col("set_id"), F.ceil(F.col("c") / BLOCK)).alias("block"))
+    # One document, and a block under its most crowded key, for every set that shares some
+    # key: there a set meets most of those it is alike to.
+    crowd = shared.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    blocks = shared.select("key", "set_id").join(crowd, "key").groupBy("set_id").agg(F.max(F.struct("c", "key")).alias("h")).select(
+        "set_id", F.col("h.key").alias("home"), F.pmod(F.col("set_id"), F.ceil(F.col("h.c") / BLOCK)).alias("block"))
     of_set = named.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    wanted = shared.select("set_id").distinct().join(of_set, "set_id").join(blocks, "set_id", "left")
+    wanted = blocks.join(of_set, "set_id")
     stored = materialize(stored_sets(docs, wanted, k))
     comps = set_components(shared, stored, percent)
 
