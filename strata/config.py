@@ -38,6 +38,12 @@ GOLD_COLUMNS = (
     "pisos_interiores", "precio",
 )
 CATEGORICAL = ("department", "city", "tipo_de_inmueble", "estado")
+# Bounds of plausible prices and areas, the share of repeats that is too much, and the
+# factor of the quartile rule.
+PRICE_BOUNDS = (1_000_000, 5_000_000_000)
+AREA_BOUNDS = (20, 1_000)
+MAX_DUPLICATE_RATIO = 0.5
+IQR_FACTOR = 1.5
 # --- End of fixed values. ---
 
 
@@ -45,17 +51,18 @@ CATEGORICAL = ("department", "city", "tipo_de_inmueble", "estado")
 class Settings:
     """Bounds and sizes a run may override."""
 
-    price_bounds: tuple[float, float] = (1_000_000, 5_000_000_000)
-    area_bounds: tuple[float, float] = (20, 1_000)
-    max_duplicate_ratio: float = 0.5
-    iqr_factor: float = 1.5
+    price_bounds: tuple[float, float] = PRICE_BOUNDS
+    area_bounds: tuple[float, float] = AREA_BOUNDS
+    max_duplicate_ratio: float = MAX_DUPLICATE_RATIO
+    iqr_factor: float = IQR_FACTOR
     # Edge of a hexagonal cell in km; the default is the mean edge of an H3
     # cell at resolution 8.
     cell_km: float = 0.461354684
     location_order: str = "city/department"
     # Largest side that may be sent whole to every executor.
     broadcast_bytes: int = 64 * 1024 * 1024
-    # Most distinct values one-hot encoding turns into columns.
+    # Most distinct values one-hot encoding turns into columns of their own; beyond it,
+    # ``one_hot_sparse`` has no bound.
     max_categories: int = 1_000
     partition_columns: tuple[str, ...] = field(default=("department", "city"))
 

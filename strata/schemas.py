@@ -38,6 +38,7 @@ UNIT_FIELDS = {
 }
 UNITS = T.ArrayType(_strings(*UNIT_FIELDS))
 
+# Fields of map documents and of their counts per cell.
 OSM_ELEMENT = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("id", T.LongType()),
