@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import decontamination, language, ngram_join, packing, pii
-from strata.llm.common import table
+from strata.llm.common import small_batches, table
 from strata.plans.sizing import broadcast_if_small, materialize
 
 
@@ -52,7 +52,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents in which no benchmark item stands, word for word or slightly edited."""
     keyed = _keyed(docs)
     found = decontamination.matches(keyed.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    hit = broadcast_if_small(found.select(F.col("doc_id").alias("_row")).distinct())
+    with small_batches(spark):
+        hit = broadcast_if_small(found.select(F.col("doc_id").alias("_row")).distinct())
     return keyed.join(hit, "_row", "left_anti").select(*docs.columns)
 
 

@@ -32,7 +32,7 @@ from strata.llm.words import groups, mix, shingle_sets
 from strata.plans.sizing import broadcast_if_small, materialize
 
 FREQUENT = 1 << 18  # shingles whose frequency the order knows; a fixed bound
-COUNT_CHUNK = 2_000_000  # shingles counted at once within a task
+COUNT_CHUNK = 1_000_000  # shingles counted at once within a task
 BLOCK = 1_500  # sets compared with each other in memory
 SEEN = 1_000_000  # set ids a task remembers
 SAMPLE = np.uint64(1023)  # one shingle in 1,024 (by hash) tells how long lists are
