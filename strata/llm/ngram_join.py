@@ -483,10 +483,11 @@ def _components_of(spark: SparkSession, docs: DataFrame, k: int, percent: int) -
     shared = materialize(shared_keys(postings(docs.filter("doc_id is not null"), k, percent, limit, frequent), percent))
 
     # One document, and a block under its most crowded key, for every set that shares some
-    # key: there a set meets most of those it is alike to.
+    # key: there a set meets most of those it is alike to. Where that is one other set, the
+    # two are a pair like any other, and need no block.
     crowd = shared.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
     blocks = shared.select("key", "set_id").join(crowd, "key").groupBy("set_id").agg(F.max(F.struct("c", "key")).alias("h")).select(
-        "set_id", F.col("h.key").alias("home"), F.pmod(F.col("set_id"), F.ceil(F.col("h.c") / BLOCK)).alias("block"))
+        "set_id", F.when(F.col("h.c") > 2, F.col("h.key")).alias("home"), F.pmod(F.col("set_id"), F.ceil(F.col("h.c") / BLOCK)).alias("block"))
     of_set = named.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     wanted = blocks.join(of_set, "set_id")
     stored = materialize(stored_sets(docs, wanted, k))
