@@ -48,12 +48,13 @@ RULES = (
 @dataclass(frozen=True)
 class Mining:
     """A rule needs ``min_support`` of the labelled pages (and ``min_count`` of them) to
-    hold its tokens and be bad, and ``confidence_pct`` of those with its tokens."""
+    hold its tokens and be bad, and ``confidence_pct`` of those with its tokens. Rules have
+    any number of tokens; ``max_tokens`` bounds it for callers that want short rules only."""
 
     min_support: float = 0.002
     min_count: int = 5
     confidence_pct: int = 60
-    max_tokens: int = 3
+    max_tokens: int | None = None
 
 
 def host_of(url: Column) -> Column:
@@ -100,7 +101,9 @@ def mine(labelled: DataFrame, settings: Mining = Mining()) -> DataFrame | None:
     # Half a row less, so that rounding of the fraction cannot lose a set on the bound.
     model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=0.0).fit(baskets)
     sets = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
-    bad = sets.filter(F.array_contains("items", BAD) & F.size("items").between(2, settings.max_tokens + 1)).select(
+    if settings.max_tokens is not None:
+        sets = sets.filter(F.size(F.array_remove("items", BAD)) <= settings.max_tokens)
+    bad = sets.filter(F.array_contains("items", BAD) & (F.size("items") >= 2)).select(
         F.array_remove("items", BAD).alias("body"), F.col("freq").alias("hits"))
     plain = sets.filter(~F.array_contains("items", BAD)).select(F.col("items").alias("body"), F.col("freq").alias("rows"))
     rules = bad.join(plain, "body").filter(100 * F.col("hits") >= settings.confidence_pct * F.col("rows"))

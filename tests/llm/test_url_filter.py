@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
+from collections import Counter
 from itertools import combinations
 
 from strata.llm import url_filter as uf
@@ -60,6 +63,40 @@ def test_mined_rules_by_brute_force(spark):
     assert want and {tuple(r.body): (r.hits, r.rows) for r in mined.collect()} == want
 
 
+def subsets(tokens):
+    return (c for size in range(1, len(tokens) + 1) for c in combinations(sorted(tokens), size))
+
+
+def plain_tokens(url):
+    scheme, host, path = re.match(r"(?s)(.*?)://([^/?#]*)([^?#]*)", url).groups()
+    query = re.match(r"(?s)[^?#]*\?([^#]*)", url)
+    parted = [("s:", scheme.split(":")), ("h:", host.lower().split(".")), ("p:", path.split("/")),
+              ("q:", [x.split("=")[0] for x in query[1].split("&")] if query else [])]
+    return {mark + re.sub("[0-9]+", "#", x) for mark, found in parted for x in found if x}
+
+
+def test_rules_of_all_sizes(spark):
+    rng = random.Random(5)
+    rows = [(sorted(rng.sample("abcdef", 5)), False) for _ in range(200)]
+    rows = [(t, "f" not in t) for t, _ in rows]  # only all of a to e together are bad
+    mined = uf.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))
+    assert {"".join(r.body) for r in mined.collect()} == {"abcde"}
+
+
+def test_query_by_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    pages = {r.page_id: r.url for r in spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url").collect()}
+    labels = spark.read.parquet(f"{folder}/labels.parquet").collect()
+    rows = [(plain_tokens(pages[r.doc_id]), r.toxic == 1 or r.quality == 0) for r in labels
+            if r.doc_id in pages and (r.toxic is not None or r.quality is not None)]
+    seen, hits = Counter(c for t, _ in rows for c in subsets(t)), Counter(c for t, bad in rows if bad for c in subsets(t))
+    least = max(5, math.ceil(len(rows) * 0.002))
+    rules = {c for c, n in hits.items() if n >= least and 100 * n >= 60 * seen[c]}
+    got = [r for r in QUERIES["op9_url_filters"](spark, folder).collect() if r.rule is None]
+    want = {r.page_id for r in got if any(c in rules for c in subsets(plain_tokens(pages[r.page_id])))}
+    assert max(map(len, rules)) > 3 and {r.page_id for r in got if r.verdict == "block"} == want
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.001"
     assert compare(QUERIES["op9_url_filters"](spark, folder), database(folder), ORACLES["op9_url_filters"]) == ""
