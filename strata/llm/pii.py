@@ -43,6 +43,11 @@ _DIGIT_WORDS = {
         "cero uno dos tres cuatro cinco seis siete ocho nueve",
     ) for i, w in enumerate(words.split())
 } | {"oh": "0"}
+# Where a domain spoken with "point" and the like ends; codes that are English words (in, it,
+# is, me, my, no, so, to, us, ...) are not among them, as "at this point it" is prose.
+_ENDS = frozenset(
+    "com org net edu gov mil int info biz io app dev eu uk fr de es ch at ie nl lu dk se fi pl pt cz sk hu ro bg gr hr si ee lv lt mt cy "
+    "li mc ca mx ar cl co pe uy ve ec bo py cr gt hn ni pa cu au nz jp cn hk tw kr sg th vn id ph ru ua by tr il ae sa eg ma tn dz za ng ke br tv cc".split())
 # --- End of fixed values. ---
 
 Span = tuple[str, int, int]
@@ -127,8 +132,9 @@ _SPELLED = re.compile(
 _SPELLED_PART = re.compile(rf"({_DIGIT_WORD})(?!\w)|[0-9]+|(plus)(?!\w)[ -]*|(dot|point|punkt|punto)(?!\w)|([ ]+)|[,.+-]", re.I)
 _HAS_WORD = re.compile(rf"(?<!\w)(?:{_DIGIT_WORD})(?!\w)[ ,.-]+(?:{_DIGIT_WORD}|dot|point|punkt|punto)(?!\w)", re.I)
 _BRACKETS = re.compile(r"[\[({<]\s*(?:(at|arroba|@)|(?:dot|punkt|point|punto|\.))\s*[\])}>]\s*", re.I)
-_SPOKEN = re.compile(
-    r"(?<![A-Za-z0-9._%+-])(?<! dot )[A-Za-z0-9_%+-]+(?: dot [A-Za-z0-9_%+-]+)*( at )[A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+(?![A-Za-z0-9-])", re.I)
+_AT = re.compile(" (?=at )", re.I)
+_SPOKEN_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:(?:\.| (?i:dot|point|punkt|punto) )[A-Za-z0-9-]+)+")
+_SPOKEN_SIGN = re.compile(" (dot|point|punkt|punto) ", re.I)
 _SPOKEN_DOT = re.compile(" dot ", re.I)
 _MIXED = re.compile(r"(?<=@)[A-Za-z0-9-]+(?:(?: dot |\.)[A-Za-z0-9-]+)+", re.I)
 
@@ -145,10 +151,46 @@ def _ascii(c: str) -> str:
     return plain if len(plain) == 1 and plain.isascii() else c
 
 
+def _spoken(text: str) -> Iterator[tuple[int, int, str]]:
+    """Signs of spoken addresses, around each " at ": a domain with stops or words for them,
+    and a local part not beyond the last match. Some word for a stop must be there: "look at
+    example.com" is prose, as is "at this point in time" (see ``_ENDS``)."""
+    done = 0
+    for m in _AT.finditer(text):
+        at = m.start()
+        domain = _SPOKEN_DOMAIN.match(text, at + 4) if at > done else None
+        if not domain:
+            continue
+        after = list(_SPOKEN_SIGN.finditer(text, domain.start(), domain.end()))
+        words = {d[1].lower() for d in after}
+        if words and "dot" not in words and re.split("[ .]", domain[0])[-1].lower() not in _ENDS:
+            continue
+        start, before = at, []
+        while True:
+            low = start
+            while low > done and text[low - 1] in _LOCAL:
+                low -= 1
+            if low == start:  # no label before this word for a stop: it is not part of it
+                start = before.pop().end() if before else at
+                break
+            start = low
+            sign = next((d for w in words | {"dot"} if start - len(w) - 2 >= done and (d := _SPOKEN_SIGN.match(text, start - len(w) - 2, start))), None)
+            if not sign:
+                break
+            before.append(sign)
+            start = sign.start()
+        if (before or after) and any(c.isalnum() for c in text[start:at]):
+            signs = [(d.start(), d.end(), ".") for d in reversed(before)]
+            yield from [*signs, (at, at + 4, "@"), *((d.start(), d.end(), ".") for d in after)]
+            done = domain.end()
+
+
 def rewritten(text: str) -> Rewrite | None:
     """The normal form with its map, or None if it is the text itself."""
     odd = not text.isascii() and _ODD.search(text)
-    if not (odd or _BRACKETS.search(text) or " dot " in text.lower() or _HAS_WORD.search(text)):
+    low = text.lower()
+    said = " dot " in low or (" at " in low and any(w in low for w in (" point ", " punkt ", " punto ")))
+    if not (odd or _BRACKETS.search(text) or said or _HAS_WORD.search(text)):
         return None
     r = Rewrite(text)
     if odd:
@@ -170,11 +212,7 @@ def rewritten(text: str) -> Rewrite | None:
             start -= 1
         changes.append((start, m.end(), "@" if m[1] else "."))
     r.edit(changes)
-    changes = []
-    for m in _SPOKEN.finditer(r.text):
-        signs = [(m.start(1), m.end(1), "@")] + [(d.start(), d.end(), ".") for d in _SPOKEN_DOT.finditer(r.text, m.start(), m.end())]
-        changes += sorted(signs)
-    r.edit(changes)
+    r.edit(list(_spoken(r.text)))
     r.edit([(d.start(), d.end(), ".") for m in _MIXED.finditer(r.text) for d in _SPOKEN_DOT.finditer(r.text, m.start(), m.end())])
     return r if r.text != text else None
 

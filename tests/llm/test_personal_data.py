@@ -44,6 +44,14 @@ def test_plain_spans(text):
     ("mail jоhn@exаmple.com now", "email", "jоhn@exаmple.com"),  # Cyrillic o and a
     ("to john.doe (at) example [dot] com, please", "email", "john.doe (at) example [dot] com"),
     ("to john at example dot co dot uk", "email", "john at example dot co dot uk"),
+    ("to john.doe at example dot com.", "email", "john.doe at example dot com"),
+    ("to hein.19 at mail5.example dot com, please", "email", "hein.19 at mail5.example dot com"),
+    ("to john at mail.example dot com now", "email", "john at mail.example dot com"),
+    ("to john at example point com now", "email", "john at example point com"),
+    ("to jean point du.pont AT mail point exemple point fr.", "email", "jean point du.pont AT mail point exemple point fr"),
+    ("to john dot doe at example.com now", "email", "john dot doe at example.com"),
+    ("to dot john at example dot com", "email", "to dot john at example dot com"),
+    (" dot john at example dot com", "email", "john at example dot com"),
     ("at ｊｏｈｎ＠ｅｘａｍｐｌｅ．ｃｏｍ", "email", "ｊｏｈｎ＠ｅｘａｍｐｌｅ．ｃｏｍ"),
     ("jo​hn@example.com", "email", "jo​hn@example.com"),
     ("call plus one five five five one two three four five six seven.", "phone", "plus one five five five one two three four five six seven"),
@@ -63,6 +71,28 @@ def test_clean_text_stays(text):
     assert pii.all_spans(text) == ([], []) and pii.redacted(text) == text
 
 
+@pytest.mark.parametrize("text", ["but at this point in time", "ended.But at one point it fell", "stood at 5 point 3", "look at example.com", "... at example dot com",
+                                  "see a.b at once", "at the dot at that point"])
+def test_prose_with_at_stays(text):
+    assert pii.all_spans(text) == ([], []) and pii.redacted(text) == text
+
+
+def test_spoken_form_of_every_plain_address(spark):
+    seen = 0
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect():
+        for m in EMAIL.finditer(r.text or ""):
+            local, domain = m[0].split("@")
+            for said in (f"{local} at {domain.replace('.', ' dot ')}", f"{local} at {' dot '.join(domain.rsplit('.', 1))}"):
+                assert pii.redacted(f"to {said} now") == "to [EMAIL] now"
+                seen += 1
+    assert seen
+
+
+@pytest.mark.parametrize("text", ["x at " * 40_000, "a dot " * 40_000 + "b at c", "a at b dot " * 3_000, "dot at " * 40_000, "a." * 100_000 + " at b dot c", "x at b" + ".c" * 100_000])
+def test_long_spoken_texts_take_linear_time(text):
+    pii.all_spans(text)
+
+
 @pytest.mark.parametrize("text", ["1" * 200_000, "a" * 200_000, "1." * 100_000, " " * 100_000 + "(at)", "+1" + " " * 100_000, "@" * 50_000,
                                   "one " * 50_000, "((" * 50_000, "x dot " * 40_000, "1 " * 100_000 + "z"])
 def test_long_texts_take_linear_time(text):
