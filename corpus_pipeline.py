@@ -35,12 +35,30 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose sets of five-word shingles are alike to 0.8 or more:
-    the one with the smallest id. Texts without words, and rows without an id, are in no
-    group and stay."""
-    found = ngram_join.jaccard_components(docs, k=5, percent=80)
-    leaves = broadcast_if_small(found.filter("component_id < doc_id").select("doc_id").distinct())
-    stay = docs.join(leaves, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group whose sets of five-word shingles are alike to 0.8 or more: the
+    one with the smallest id, then text. Rows of one id are judged each by its own text; if
+    they are equal, one stays. Texts without words, and rows without an id, are in no group
+    and stay."""
+    key = "_copy"
+    while key in docs.columns:
+        key = "_" + key
+    # Rows alike in id and text have one key, rows without an id none, which joins nothing.
+    row = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit(""))))
+    found = ngram_join.jaccard_components(docs.select(row.alias("doc_id"), "text"), k=5, percent=80)
+    # The component is named after one of its rows; with the others these are its members.
+    others = materialize(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_row"), "component_id").distinct())
+    members = broadcast_if_small(others.unionByName(others.select(F.col("component_id").alias("_row"), "component_id")).distinct())
+    rows = docs.select(row.alias("_row"), F.col("doc_id").cast("long").alias("_id"), "text")
+    ids = materialize(rows.select("_row", "_id").join(members, "_row").distinct())
+    lowest = broadcast_if_small(ids.groupBy("component_id").agg(F.min("_id").alias("_id")))
+    first = materialize(ids.join(lowest, ["component_id", "_id"]).select("_row", "component_id"))
+    # Texts are compared only where the smallest id has several rows in the component.
+    tied = first.groupBy("component_id").count().filter("count > 1").select("component_id")
+    tied = broadcast_if_small(first.join(broadcast_if_small(tied), "component_id", "left_semi"))
+    best = rows.select("_row", "text").join(tied, "_row").groupBy("component_id").agg(F.min_by("_row", "text").alias("_row"))
+    lost = tied.select("_row").join(broadcast_if_small(best), "_row", "left_anti")
+    leaves = broadcast_if_small(ids.join(broadcast_if_small(first), "_row", "left_anti").select("_row").unionByName(lost).withColumnRenamed("_row", key))
+    stay = docs.withColumn(key, row).join(leaves, key, "left_anti").select(*docs.columns)
     # Only rows whose id repeats are compared by their text.
     repeated = broadcast_if_small(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
     once = stay.join(repeated, "doc_id", "left_anti").select(*docs.columns)

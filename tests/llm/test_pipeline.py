@@ -46,6 +46,22 @@ def test_near_copies_against_brute_force(spark, docs):
     assert STAGE["near_copies"](spark, docs, FOLDER).columns == docs.columns
 
 
+def test_near_copies_where_ids_repeat(spark):
+    long = lambda w: " ".join(f"{w}{i}" for i in range(60))
+    a, b, c, e = map(long, "abce")
+    data = [(7, a), (8, a + " end"), (7, b), (3, b + " end"),  # two groups share an id
+            (9, c), (9, a + " more"),  # a clean text under the id of a copy
+            (5, e + " y"), (5, e + " x"), (5, e + " x"), (6, e),  # copies under one id, equal rows
+            (11, ""), (11, None), (-1, a + " z"), (None, a + " z")]
+    df = spark.createDataFrame([(d, t, "k") for d, t in data], "doc_id long, text string, _copy string").repartition(3)
+    got = STAGE["near_copies"](spark, df, FOLDER)
+    assert got.columns == df.columns
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, [
+        (-1, a + " z"), (3, b + " end"), (9, c), (5, e + " x"), (11, ""), (11, None), (None, a + " z")]))
+    alone = spark.createDataFrame([(7, a), (8, a + " end"), (7, b), (3, b + " end")], "doc_id long, text string")
+    assert {tuple(r) for r in STAGE["near_copies"](spark, alone, FOLDER).collect()} == {(7, a), (3, b + " end")}
+
+
 def test_decontamination(spark, docs):
     items = [dc.normal(r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     kept, given = by_id(STAGE["decontamination"](spark, docs, FOLDER)), by_id(docs)
