@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import chat, decontamination, fingerprints, language, ngram_join, packing, pii, substrings, token_counts, url_filter
+from strata.llm import (
+    chat, decontamination, fill_in_middle, fingerprints, hard_negatives, language, ngram_join, packing, pii, substrings, token_counts, url_filter,
+)
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +141,52 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_document_fingerprints")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_documents(table(spark, folder, "documents"))
+
+
+OP12_SQL = r"""
+with t as (
+ select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as toks,
+  sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+d as (select *, len(toks) as n, cast('0x' || substr(h, 1, 8) as bigint) as h1, cast('0x' || substr(h, 9, 8) as bigint) as h2,
+  cast('0x' || substr(h, 17, 8) as bigint) as h3, cast('0x' || substr(h, 25, 8) as bigint) as h4 from t),
+c as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+  case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+   when h4 % 100 < 20 then 'spm' else 'psm' end as form from d),
+p as (select *, array_to_string(toks[1:a], '') as prefix, array_to_string(toks[a + 1:b], '') as middle,
+  array_to_string(toks[b + 1:n], '') as suffix from c)
+select doc_id, cast(n as bigint) as n, form,
+ case when form <> 'plain' then cast(length(prefix) as bigint) end as prefix_chars,
+ case when form <> 'plain' then cast(length(middle) as bigint) end as middle_chars,
+ sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+  else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+ sha256(text) as restored_sha256
+from p"""
+
+
+@query("op12_fill_in_middle", OP12_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_in_middle.middle_digests(table(spark, folder, "documents"))
+
+
+OP13_SQL = """
+with r as (
+ select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+  list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v, len(embedding) as d
+ from embeddings where vec_id is not null and label is not null and embedding is not null
+  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+  cast(coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])), 0) as bigint) as score
+ from r a join r b on a.vec_id % 100 = 0 and a.d = b.d and a.vec_id <> b.vec_id),
+p as (select anchor_id, other_id as positive_id, score as positive_score from s where same
+ qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select anchor_id, positive_id,
+ cast(row_number() over (partition by anchor_id, positive_id order by score desc, other_id) as integer) as rank,
+ other_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, folder, "embeddings"))
