@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import (
-    chat, decontamination, fill_in_middle, fingerprints, hard_negatives, language, ngram_join, packing, pii, substrings, token_counts, url_filter,
+    chat, decontamination, fill_in_middle, fingerprints, hard_negatives, html_extraction, language, ngram_join, packing, pii, substrings,
+    token_counts, url_filter,
 )
 from strata.llm.common import table
 
@@ -143,6 +144,25 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_documents(table(spark, folder, "documents"))
 
 
+# What the given pages are made of: one article of headings and paragraphs, in which tags are
+# inline but for p and h1, and only paragraphs may lack their end.
+OP11_SQL = r"""
+with a as (select page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) as body from pages),
+b as (select page_id, url, n, trim(regexp_replace(regexp_replace(replace(replace(replace(
+   regexp_replace(regexp_replace(block, '<br>', ' ', 'g'), '<[^>]*>', '', 'g'),
+   '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) as block
+ from (select page_id, url, unnest(regexp_split_to_array(body, '</?(?:p|h1)>')) as block,
+  generate_subscripts(regexp_split_to_array(body, '</?(?:p|h1)>'), 1) as n from a)),
+t as (select page_id, url, coalesce(string_agg(block, chr(10) || chr(10) order by n) filter (block <> ''), '') as text
+ from b group by page_id, url)
+select page_id, url, text, length(text) as n_chars from t"""
+
+
+@query("op11_html_extraction", OP11_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.main_text(table(spark, folder, "pages"))
+
+
 OP12_SQL = r"""
 with t as (
  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as toks,
