@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
+from functools import lru_cache
 from typing import NamedTuple
 
 import xxhash
@@ -40,11 +41,13 @@ _SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("td",
 _MARKUP = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
+_ADDRESS = re.compile(r"(?<=href)\s*=\s*\"[^\"]*")  # of a link: each has another
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 
 OWN, NAMED, ARTICLE, MAIN = 1, 2, 4, 8  # flags: left out by element, by name; within an article, within main
 BODY = 0  # token hash that every page has once
+SHORT = 300  # characters of a tag that is remembered
 
 
 class Event(NamedTuple):
@@ -81,6 +84,34 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+@lru_cache(1 << 14)
+def _step(name: str, parent: int) -> tuple[int, Event]:
+    """Hash of a path that goes on with ``name``, and the event for it."""
+    token = _digest(name, parent)
+    return token, Event(_signed(token))
+
+
+class _Tag(NamedTuple):
+    shown: str  # name, classes, id and role, digits as #
+    block: bool
+    kept: bool  # on the stack until it ends
+    own: bool  # left out by element, role or style
+    names: frozenset[str]  # words that say it is not the article
+    link: bool
+
+
+@lru_cache(1 << 13)
+def _tag(name: str, raw: str) -> _Tag:
+    attributes = _attributes(raw) if raw and not raw.isspace() else {}
+    role, named = attributes.get("role", "").lower(), f"{attributes.get('class', '')} {attributes.get('id', '')}"
+    hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()
+    block, left_out = name in BLOCKS, name in LEFT_OUT
+    return _Tag(
+        re.sub(r"\d+", "#", " ".join([name, *sorted(named.split()), role])), block,
+        name not in VOID and (block or left_out or hidden or role in ROLES),
+        left_out or hidden or role in ROLES, NAMES.intersection(_words(named)), name == "a" and "href" in attributes)
+
+
 class _Reader:
     def __init__(self):
         self.events: list[Event] = []
@@ -121,10 +152,10 @@ class _Reader:
         self.open[name] -= 1
 
     def start(self, name: str, raw: str) -> None:
-        attributes = _attributes(raw) if raw and not raw.isspace() else {}
-        role, named = attributes.get("role", "").lower(), f"{attributes.get('class', '')} {attributes.get('id', '')}"
-        block = name in BLOCKS
-        if block:
+        raw = _ADDRESS.sub('="', raw, count=1) if name == "a" else raw
+        # Long ones are not remembered.
+        tag = _tag(name, raw) if len(raw) <= SHORT else _tag.__wrapped__(name, raw)
+        if tag.block:
             self.end_block()
             self.in_link = self.in_link and name not in ("p", "li")
             if self.stack and self.stack[-1][0] == "p":
@@ -133,29 +164,25 @@ class _Reader:
                 self.pop()
         elif name == "br":
             self.text(" ")
-        shown = re.sub(r"\d+", "#", " ".join([name, *sorted(named.split()), role]))
-        token = _digest(shown, self.path)
-        self.events.append(Event(_signed(token)))
-        if name == "a":
-            self.in_link = "href" in attributes
-        if name in VOID or not (block or name in LEFT_OUT):
+        elif name == "a":
+            self.in_link = tag.link
+        token, event = _step(tag.shown, self.path) if len(tag.shown) <= SHORT else _step.__wrapped__(tag.shown, self.path)
+        self.events.append(event)
+        if not tag.kept:
             return
         flags, within = self.flags, self.flags & (ARTICLE | MAIN)
-        words = set(_words(named)) - ({"header"} if within else set())
-        if name in LEFT_OUT or role in ROLES or name == "header" and not within:
-            flags |= OWN
-        if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower():
+        if tag.own or name == "header" and not within:
             flags |= OWN
+        names = tag.names - {"header"} if within else tag.names
         if name in ("article", "main"):
-            bad = words & NAMES
-            flags = flags & ~NAMED | (NAMED if bad else ARTICLE if name == "article" else MAIN)
-        elif words & NAMES and name not in ("html", "body"):
+            flags = flags & ~NAMED | (NAMED if names else ARTICLE if name == "article" else MAIN)
+        elif names and name not in ("html", "body"):
             flags |= NAMED
         self.stack.append((name, token, flags))
         self.open[name] += 1
 
     def end(self, name: str) -> None:
-        if name == "p" and not self.open["p"] or name in BLOCKS:
+        if name in BLOCKS:
             self.end_block()
         if name == "a":
             self.in_link = False
@@ -163,7 +190,8 @@ class _Reader:
             while self.stack[-1][0] != name:
                 self.pop()
             self.pop()
-        self.events.append(Event(_signed(_digest("/" + name, self.path))))
+        step = _step if len(name) <= SHORT else _step.__wrapped__
+        self.events.append(step("/" + name, self.path)[1])
 
 
 def events(source: str) -> list[Event]:
