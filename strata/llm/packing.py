@@ -22,7 +22,7 @@ import re
 import zlib
 from bisect import bisect_right
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,12 +51,18 @@ class Encoder:
     def __init__(self):
         import public_tokenizers as public
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(public.path("byte_bpe_50k.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("byte_bpe_50k", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.full = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+
+    @cached_property
+    def full(self):
+        """Opened by the first text that needs it."""
+        import public_tokenizers as public
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(public.path("byte_bpe_50k.json"))
 
     def ids(self, text: str) -> np.ndarray:
         if _SPECIAL in text or _OTHER.search(text):

@@ -43,11 +43,12 @@ _DIGIT_WORDS = {
         "cero uno dos tres cuatro cinco seis siete ocho nueve",
     ) for i, w in enumerate(words.split())
 } | {"oh": "0"}
-# Where a domain spoken with "point" and the like ends; codes that are English words (in, it,
+# Where a spoken domain ends; codes that are English words (in, it,
 # is, me, my, no, so, to, us, ...) are not among them, as "at this point it" is prose.
 _ENDS = frozenset(
     "com org net edu gov mil int info biz io app dev eu uk fr de es ch at ie nl lu dk se fi pl pt cz sk hu ro bg gr hr si ee lv lt mt cy "
-    "li mc ca mx ar cl co pe uy ve ec bo py cr gt hn ni pa cu au nz jp cn hk tw kr sg th vn id ph ru ua by tr il ae sa eg ma tn dz za ng ke br tv cc".split())
+    "li mc ca mx ar cl co pe uy ve ec bo py cr gt hn ni pa cu au nz jp cn hk tw kr sg th vn id ph ru ua by tr il ae sa eg ma tn dz za ng ke br tv cc "
+    "xyz example".split())
 # --- End of fixed values. ---
 
 Span = tuple[str, int, int]
@@ -154,7 +155,7 @@ def _ascii(c: str) -> str:
 def _spoken(text: str) -> Iterator[tuple[int, int, str]]:
     """Signs of spoken addresses, around each " at ": a domain with stops or words for them,
     and a local part not beyond the last match. Some word for a stop must be there: "look at
-    example.com" is prose, as is "at this point in time" (see ``_ENDS``)."""
+    example.com" is prose, as are "at this point in time" and "at 5 dot 30" (``_ENDS``)."""
     done = 0
     for m in _AT.finditer(text):
         at = m.start()
@@ -163,7 +164,7 @@ def _spoken(text: str) -> Iterator[tuple[int, int, str]]:
             continue
         after = list(_SPOKEN_SIGN.finditer(text, domain.start(), domain.end()))
         words = {d[1].lower() for d in after}
-        if words and "dot" not in words and re.split("[ .]", domain[0])[-1].lower() not in _ENDS:
+        if re.split("[ .]", domain[0])[-1].lower() not in _ENDS:
             continue
         start, before = at, []
         while True:
@@ -285,8 +286,11 @@ def find_personal_data(documents: DataFrame) -> DataFrame:
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
     """The same rows and columns with identifiers in ``text`` replaced; null stays null."""
-    @F.pandas_udf("string")
-    def hide(s):
-        return s.map(lambda t: None if t is None else redacted(t))
+    @F.arrow_udf("string")
+    def hide(column):
+        done = []
+        for at in range(0, len(column), 256):
+            done.append(pa.array([None if t is None else redacted(t) for t in column.slice(at, 256).to_pylist()], pa.string()))
+        return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
     return df.withColumn(text, hide(F.col(text)))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import parts, texts
-from strata.llm.words import BASE, INVERSE, groups, mix, ngrams, powers, word_hashes
+from strata.llm.words import groups, mix, ngrams, word_hashes
 from strata.plans.sizing import materialize
 
 PREFIX = 12  # words
@@ -115,11 +115,16 @@ _RUNS = "key long, doc long, text_hash long, start long, end long, anchor int, w
 
 
 def _content(h: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``h[a:b]`` for many a, b."""
-    up, down = powers(BASE, len(h)), powers(INVERSE, len(h))
-    with np.errstate(over="ignore"):
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[:len(h)], dtype=np.uint64)])
-        return mix((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64))
+    """64-bit hashes of ``h[a:b]`` for many a, b: sums of words mixed with their places."""
+    out = np.empty(len(a), np.uint64)
+    for part in np.array_split(np.arange(len(a)), max(1, int((b - a).sum()) // 1_000_000)):
+        n = (b - a)[part]
+        begins = np.cumsum(n) - n
+        place = np.arange(n.sum()) - np.repeat(begins, n)
+        with np.errstate(over="ignore"):
+            each = mix(h[np.repeat(a[part], n) + place] + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            out[part] = mix(np.add.reduceat(each, begins) + n.astype(np.uint64)) if len(part) else 0
+    return out
 
 
 def runs(docs: DataFrame, window: int, bitmap, frequent) -> DataFrame:
@@ -151,7 +156,7 @@ def runs(docs: DataFrame, window: int, bitmap, frequent) -> DataFrame:
                     single = np.concatenate([np.zeros(int((~heavy).sum()), bool), np.ones(len(w), bool)])
                     first, last = np.concatenate([first[~heavy], w]), np.concatenate([last[~heavy], w])
                     anchor = np.concatenate([anchor[~heavy], w])
-                    prefix = np.concatenate([prefix[~heavy], _content(h, w, w + window)])
+                    prefix = np.concatenate([prefix[~heavy], ngrams(h, window)[w]])
                 else:
                     single = np.zeros(len(first), bool)
                 if not len(first):
@@ -291,7 +296,7 @@ def remove_repeats(documents: DataFrame, window: int = 35, with_text: bool = Tru
     docs = texts(documents).withColumn("text_hash", F.xxhash64("text"))
     spans = repeated_spans(docs.select("doc_id", "text_hash", "text"), window)
     per_doc = spans.groupBy(F.coalesce("doc", F.lit(-1)).alias("_doc"), F.col("text_hash").alias("_hash")).agg(
-        F.collect_list(F.struct("start", "end")).alias("spans"))
+        F.collect_set(F.struct("start", "end")).alias("spans"))  # copies under one id have the same
     keyed = docs.withColumn("_doc", F.coalesce("doc_id", F.lit(-1)))
     joined = keyed.join(per_doc, (keyed["_doc"] == per_doc["_doc"]) & (keyed["text_hash"] == per_doc["_hash"]), "left")
     out = pa.schema([f for f in _RESULT if with_text or f.name != "kept"])

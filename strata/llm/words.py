@@ -1,8 +1,9 @@
 """Words and shingles of many texts at once, as 64-bit hashes, in numpy.
 
 A word is a run of bytes other than space, tab, line feed, vertical tab, form feed and
-carriage return. Its hash is a polynomial over random byte values modulo 2^64, finished by
-a mixing step, so that hashes of all words of a batch come out of one running sum.
+carriage return. Its hash takes eight bytes at a time, with a mixing step after each, for all
+words of a batch at once; words of up to eight bytes have different hashes if they differ
+and are equally long.
 """
 
 from __future__ import annotations
@@ -13,30 +14,13 @@ import numpy as np
 import xxhash
 
 SLICE = 1 << 18  # bytes handled at once: temporaries take some 50 times that
-LONG_WORD = 1 << 16  # longer words are hashed on their own
+LONG_WORD = 64  # bytes; longer words are hashed on their own
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-BASE = 0x9E3779B97F4A7C15
-_BYTE = np.random.default_rng(20250).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, base & (2**64 - 1), np.uint64)]), dtype=np.uint64)
-
-
-INVERSE = pow(BASE, -1, 2**64)
-_TABLES: dict[str, np.ndarray] = {}
-
-
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _TABLES:
-        _TABLES["up"], _TABLES["down"] = powers(BASE, SLICE * 2), powers(INVERSE, SLICE * 2)
-    if n < len(_TABLES["up"]):
-        return _TABLES["up"], _TABLES["down"]
-    return powers(BASE, n), powers(INVERSE, n)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # masks of the first n bytes
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -53,11 +37,17 @@ def _hash_slice(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     space = _SPACE[buf]
     before = np.concatenate([[True], space[:-1]])
     starts, ends = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
-    up, down = _tables(len(buf) + 1)
+    size = ends - starts
+    ahead = np.ndarray(len(raw), "<u8", raw + bytes(8), strides=(1,))  # the next eight bytes of every place
     with np.errstate(over="ignore"):
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[buf] * up[:len(buf)], dtype=np.uint64)])
-        h = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        h = mix(size.astype(np.uint64) * _ODD)
+        for step in range(0, LONG_WORD, 8):
+            some = np.flatnonzero(size > step) if step else slice(None)
+            if step and not len(some):
+                break
+            block = ahead[starts[some] + step] & _FIRST[np.minimum(size[some] - step, 8)]
+            h[some] = mix((h[some] ^ block) * _ODD)
+    for i in np.flatnonzero(size > LONG_WORD):
         h[i] = xxhash.xxh64_intdigest(raw[starts[i]:ends[i]])
     return h, starts, ends
 

@@ -113,3 +113,19 @@ def test_boundary_weighs_both_sides():
     assert ngram_join.boundary({}, 1.0, 85) == 0
     sizes = {n: 10 for n in range(6, 200)}
     assert ngram_join.boundary(sizes, 0.0, 85) < ngram_join.boundary(sizes, 20.0, 85) < 200
+
+
+def patterned():
+    """Two words of 1,024 bytes that a polynomial over their bytes, modulo a power of two,
+    takes for one."""
+    x = "a"
+    while len(x) < 1024:
+        x += x.translate({97: "b", 98: "a"})
+    return x, x.translate({97: "b", 98: "a"})
+
+
+def test_patterned_words_differ(spark):
+    x, y = patterned()
+    data = [(1, f"{x} {x} {x} z"), (2, f"{y} {y} {y} z"), (3, f"{x} {x} {x} z"), (4, x), (5, y)]
+    got = rows_of(ngram_join.jaccard_components(spark.createDataFrame(data, "doc_id long, text string")))
+    assert got == brute(data) and [r[2] for r in got] == [1, 2, 1, 4, 5]

@@ -72,7 +72,8 @@ def test_clean_text_stays(text):
 
 
 @pytest.mark.parametrize("text", ["but at this point in time", "ended.But at one point it fell", "stood at 5 point 3", "look at example.com", "... at example dot com",
-                                  "see a.b at once", "at the dot at that point"])
+                                  "see a.b at once", "at the dot at that point", "we met at noon dot it was fun", "meet at 5 dot 30",
+                                  "arrive at 10 dot 15 pm", "the dot at 3.30 moved"])
 def test_prose_with_at_stays(text):
     assert pii.all_spans(text) == ([], []) and pii.redacted(text) == text
 

@@ -7,10 +7,12 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from strata.llm import substrings
 from strata.llm.queries import QUERIES
+from tests.llm.test_ngram_join import patterned
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -75,3 +77,20 @@ def test_odd_rows(spark):
     df = spark.createDataFrame(data, "doc_id long, text string, kept string")
     assert rows_of(substrings.remove_repeats(df)) == brute([r[:2] for r in data], 35)
     assert substrings.remove_repeats(spark.createDataFrame([], df.schema)).collect() == []
+
+
+def test_patterned_words_differ(spark):
+    """Neither words nor sequences of words that a plain polynomial takes for equal."""
+    x, y = patterned()
+    rest = " ".join(f"w{i}" for i in range(34))
+    short = " ".join(x[:64].replace("a", "l ").replace("b", "r ").split())
+    data = [(1, f"{x} {rest}"), (2, f"{y} {rest}"), (3, " ".join(x[:1024])), (4, " ".join(y[:1024]) + " end"), (5, short)]
+    assert rows_of(substrings.remove_repeats(spark.createDataFrame(data, "doc_id long, text string"))) == brute(data, 35)
+    a, b = (np.array([ord(c) for c in w], np.uint64) for w in (x, y))
+    assert len(set(substrings._content(np.concatenate([a, b]), np.array([0, 1024]), np.array([1024, 2048])).tolist())) == 2
+
+
+def test_many_equal_rows_of_one_id(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    data = [(1, text)] * 3000 + [(2, text + " end"), (None, text), (1, "w1 w2")]
+    assert rows_of(substrings.remove_repeats(spark.createDataFrame(data, "doc_id long, text string").repartition(6))) == brute(data, 35)
