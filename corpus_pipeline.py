@@ -8,7 +8,7 @@ kept.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import decontamination, language, ngram_join, packing, pii
@@ -16,10 +16,18 @@ from strata.llm.common import small_batches, table
 from strata.plans.sizing import broadcast_if_small, materialize
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """With ``_row``: equal for rows that are alike in id and text, so that what is found
-    out about a row finds its way back, even where ids repeat or are null."""
-    return docs.withColumn("_row", F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.coalesce(F.col("text"), F.lit(""))))
+def _free(docs: DataFrame, name: str) -> str:
+    """A name that no column has, whatever the case of its letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def _row_key() -> Column:
+    """Equal for rows that are alike in id and text, so that what is found out about a row
+    finds its way back, even where ids repeat or are null."""
+    return F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.coalesce(F.col("text"), F.lit("")))
 
 
 def _with_length(docs: DataFrame) -> DataFrame:
@@ -39,9 +47,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     one with the smallest id, then text. Rows of one id are judged each by its own text; if
     they are equal, one stays. Texts without words, and rows without an id, are in no group
     and stay."""
-    key = "_copy"
-    while key in docs.columns:
-        key = "_" + key
+    key = _free(docs, "_copy")
     # Rows alike in id and text have one key, rows without an id none, which joins nothing.
     row = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit(""))))
     found = ngram_join.jaccard_components(docs.select(row.alias("doc_id"), "text"), k=5, percent=80)
@@ -68,11 +74,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item stands, word for word or slightly edited."""
-    keyed = _keyed(docs)
-    found = decontamination.matches(keyed.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    key = _free(docs, "_row")
+    keyed = docs.withColumn(key, _row_key())
+    found = decontamination.matches(keyed.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
     with small_batches(spark):
-        hit = broadcast_if_small(found.select(F.col("doc_id").alias("_row")).distinct())
-    return keyed.join(hit, "_row", "left_anti").select(*docs.columns)
+        hit = broadcast_if_small(found.select(F.col("doc_id").alias(key)).distinct())
+    return keyed.join(hit, key, "left_anti").select(*docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
