@@ -169,7 +169,7 @@ def test_encodings(rows):
     assert hot.columns == ["id", "c_b", "c_c"] and hot.filter("id = 1").first()[1:] == (0, 0)
     labels = {r.id: r.c for r in features.label_encode(df, ["c"]).collect()}
     assert labels == {0: 1, 1: 0, 2: 2, 3: 0, 4: None}
-    with pytest.raises(ValueError, match="label_encode"):
+    with pytest.raises(ValueError, match="one_hot_sparse"):
         features.categories(df, "c", limit=2)
 
 
