@@ -116,18 +116,12 @@ parts as (select distinct url, 's:' || regexp_replace(x, '[0-9]+', '#', 'g') as
 labelled as (select row_number() over () as r, u.url, coalesce(l.toxic = 1, false) or coalesce(l.quality = 0, false) as bad
  from u join labels l on u.page_id = l.doc_id where u.url is not null and (l.toxic is not null or l.quality is not null)),
 least as (select greatest(5, ceil(count(*) * 0.002)) as n from labelled),
-b as (select r, bad, t from labelled join parts using (url)),
-combos as (
- select t as a, '' as b, '' as c, bad from b
- union all select x.t, y.t, '', x.bad from b x join b y on x.r = y.r and x.t < y.t
- union all select x.t, y.t, z.t, x.bad from b x join b y on x.r = y.r and x.t < y.t join b z on z.r = y.r and y.t < z.t),
-rules as (select a, b, c from combos group by a, b, c
+lists as (select url, list_sort(list(t)) as ts from parts group by url),
+subsets as (select bad, list_filter(ts, lambda x, i: (m >> (i - 1)) & 1 = 1) as s
+ from (select bad, ts, unnest(range(1, 1 << len(ts))) as m from labelled join lists using (url))),
+rules as (select s from subsets group by s
  having count(*) filter (bad) >= (select n from least) and 100 * count(*) filter (bad) >= 60 * count(*)),
-hit as (
- select url from parts join rules on a = t and b = ''
- union select x.url from parts x join rules on a = x.t and b <> '' and c = '' join parts y on y.url = x.url and y.t = b
- union select x.url from parts x join rules on a = x.t and c <> '' join parts y on y.url = x.url and y.t = b
-  join parts z on z.url = x.url and z.t = c)
+hit as (select distinct url from lists join rules on list_has_all(ts, s))
 select page_id, host, path, rule,
  case when rule in ('com/', 'www.example.com/en/') then 'allow' when rule is not null then 'block'
   when url in (select url from hit where url is not null) then 'block' else 'allow' end as verdict
