@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
@@ -42,4 +43,12 @@ def parts(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Rec
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    give_back()
 
+
+def give_back() -> None:
+    """Workers outlive their tasks; memory that this task has freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
