@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import Tables, cte, query
-from strata.operators import pages
+from strata.operators import page_tables, pages
 
 BASE = "https://listings.example"
 
@@ -54,28 +54,86 @@ def detail(t: Tables):
     return t.sql(DETAIL)
 
 
-@query("page_facts", cte("v_text") + """
+FACTS = cte("v_text") + """
 select o_orderkey as page_id, 'facts' as part, 'Estrato' as "key", estrato as value from v_text
 union all select o_orderkey, 'facts', 'Pisos', pisos from v_text
 union all select o_orderkey, 'sheet', 'Estado', estado from v_text where has_info = 1
 union all select o_orderkey, 'sheet', 'Remodelado', 'No disponible' from v_text where has_info = 1
-union all select o_orderkey, 'sheet', 'Precio', case when estado = 'F' then precio end from v_text where has_info = 1""")
+union all select o_orderkey, 'sheet', 'Precio', case when estado = 'F' then precio end from v_text where has_info = 1"""
+
+
+@query("page_facts", FACTS)
 def _(t: Tables):
     return pages.page_facts(detail(t))
 
 
-@query("page_units", cte("v_unit") + """, n as (
+@query("page_facts_sql", FACTS)
+def _(t: Tables):
+    detail(t).createOrReplaceTempView("detail_pages")
+    page_tables.register(t.spark)
+    return t.spark.sql("""
+        select page_id, f.* from detail_pages, lateral page_rows(html, 'facts') f
+        union all select page_id, f.* from detail_pages, lateral page_rows(html, part => 'sheet') f""")
+
+
+UNITS = cte("v_unit") + """, n as (
  select *, cast(row_number() over (partition by l_orderkey order by l_linenumber, precio_txt, const_txt, tipo_txt) - 1 as int) as unit from v_unit)
 select l_orderkey as page_id, unit, false as from_table, k as "key", case k when 'Precio' then precio_txt else hab_txt end as value
 from n, (values ('Precio'), ('Hab/Amb')) v(k) where l_orderkey % 2 = 0
 union all select l_orderkey, unit, true, k, case k when 'area_construida' then const_txt when 'area_privada' then priv_txt
  when 'tipo_inmueble' then tipo_txt when 'hab_amb' then hab_txt when 'banos' then banos_txt else precio_txt end
 from n, (values ('area_construida'), ('area_privada'), ('tipo_inmueble'), ('hab_amb'), ('banos'), ('precio')) v(k)
-where l_orderkey % 2 = 1""")
+where l_orderkey % 2 = 1"""
+
+
+@query("page_units", UNITS)
 def _(t: Tables):
     return pages.page_units(detail(t))
 
 
+@query("page_units_sql", UNITS)
+def _(t: Tables):
+    pages_ = detail(t)
+    # Some pages are there in two equal versions.
+    pages_.unionByName(pages_.filter("page_id % 3 = 0")).createOrReplaceTempView("detail_pages")
+    page_tables.register(t.spark)
+    return t.spark.sql("select u.* from page_units(table(detail_pages) partition by page_id) u")
+
+
+# The same facts in the markup of another site, and its rules.
+OTHER_SITE = cte("v_text") + """
+select o_orderkey as page_id, concat('<div id="x"><dl class="data"><dt>Estrato</dt><dd> ', estrato, '</dd><dt>Pisos</dt><dd>',
+ case when pisos = 'No disponible' then '¡Pregúntale!' else pisos end, '</dl>',
+ case when has_info = 1 then concat('<p class="state"><i>', estado, '</i></p>') else '' end,
+ case when estado = 'F' then concat('<b class="amount old">1</b><span class="amount">', precio, '</span>') else '' end, '</div>') as html
+from v_text"""
+OTHER_RULES = (
+    ("facts", 1, "dl.data", None, "dt[0]", "dd[0]"),
+    ("facts", 2, "dl.data", None, "dt[1]", "dd[1]"),
+    ("sheet", 1, "p.state", None, "=Estado", "i"),
+    ("sheet", 2, "div", None, "=Precio", "span.amount"),
+    ("sheet", 3, "div", None, "=Precio", "b.amount"),
+)
+
+
+@query("page_facts_by_rules", cte("v_text") + """, f as (
+ select o_orderkey as page_id, 'listing' as page_set, 'facts' as part, 'Estrato' as "key", estrato as value from v_text
+ union all select o_orderkey, 'listing', 'facts', 'Pisos', pisos from v_text
+ union all select o_orderkey, 'listing', 'sheet', 'Estado', estado from v_text where has_info = 1
+ union all select o_orderkey, 'listing', 'sheet', 'Remodelado', 'No disponible' from v_text where has_info = 1
+ union all select o_orderkey, 'listing', 'sheet', 'Precio', case when estado = 'F' then precio end from v_text where has_info = 1
+ union all select o_orderkey, 'other', 'facts', 'Estrato', estrato from v_text
+ union all select o_orderkey, 'other', 'facts', 'Pisos', pisos from v_text
+ union all select o_orderkey, 'other', 'sheet', 'Estado', estado from v_text where has_info = 1
+ union all select o_orderkey, 'other', 'sheet', 'Precio', case when estado = 'F' then precio end from v_text)
+select *, cast(null as varchar) as error from f""")
+def _(t: Tables):
+    both = detail(t).select("page_id", "html", F.lit("listing").alias("site")).unionByName(
+        t.sql(OTHER_SITE).select("page_id", "html", F.lit("other").alias("site")))
+    rules = page_tables.rule_sets(t.spark, {"listing": page_tables.LISTING_RULES, "other": OTHER_RULES})
+    return page_tables.page_facts_by_rules(both, rules, F.col("site"))
+
+
 # One index page per twenty order numbers: a card per order, page items up to their count.
 INDEX = cte("v_text") + """
 select page_id, concat('https://listings.example/venta/', cast(page_id as string)) as url,
