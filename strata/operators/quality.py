@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.projection import quoted
-from strata.plans.sizing import row_bytes
+from strata.plans.sizing import broadcast_if_small, materialize, row_bytes
 
 
 def validate(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -75,69 +76,95 @@ def _single_pass(df: DataFrame, measures: Sequence[tuple[str, str, Column]]) ->
     return _rows(wide, [(m, c, F.col(n)) for n, (m, c, _) in zip(names, measures)])
 
 
-def _weighted(condition: Column, weight: Column) -> Column:
-    return F.sum(F.when(condition, weight).otherwise(F.lit(0)))
+def _null_measures(columns: Sequence[str]):
+    return [("null_count", c, F.count_if(quoted(c).isNull())) for c in columns]
 
 
-def _null_measures(columns: Sequence[str], weight: Column):
-    return [("null_count", c, _weighted(quoted(c).isNull(), weight)) for c in columns]
+def _empty_measures(columns: Sequence[str]):
+    return [("empty_count", c, F.count_if(quoted(c).isNull() | (quoted(c) == ""))) for c in columns]
 
 
-def _empty_measures(columns: Sequence[str], weight: Column):
-    return [
-        ("empty_count", c, _weighted(quoted(c).isNull() | (quoted(c) == ""), weight)) for c in columns
-    ]
-
-
-def _outlier_measures(bounds: Mapping[str, tuple[float, float]], weight: Column):
+def _outlier_measures(bounds: Mapping[str, tuple[float, float]]):
     out = []
     for c, (lo, hi) in bounds.items():
         number = quoted(c).try_cast("double")
-        out.append(("outlier_count", c, _weighted(number.isNotNull() & ~number.between(lo, hi), weight)))
+        out.append(("outlier_count", c, F.count_if(number.isNotNull() & ~number.between(lo, hi))))
     return out
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    return _single_pass(df, _null_measures(columns or df.columns, F.lit(1))).drop("metric")
+    return _single_pass(df, _null_measures(columns or df.columns)).drop("metric")
 
 
 def empty_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Null or empty, text columns only."""
-    return _single_pass(df, _empty_measures(columns or _text_columns(df), F.lit(1))).drop("metric")
+    return _single_pass(df, _empty_measures(columns or _text_columns(df))).drop("metric")
 
 
 def outlier_counts(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> DataFrame:
     """Values outside [low, high]; text is read as a number where it is one."""
-    return _single_pass(df, _outlier_measures(bounds, F.lit(1))).drop("metric")
+    return _single_pass(df, _outlier_measures(bounds)).drop("metric")
+
+
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return _hashable(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def row_hashes(df: DataFrame, names: Sequence[str] = ("_h1", "_h2")) -> list[Column]:
+    """Two 64-bit hashes of the row; equal rows have equal ones.
+
+    The built-in hash passes over nulls, so which columns are null is hashed too. Columns
+    with maps or variants in them, which it cannot read, are left out.
+    """
+    parts = [quoted(f.name) for f in df.schema.fields if _hashable(f.dataType)]
+    nulls = [quoted(c).isNull() for c in df.columns]
+    return [F.xxhash64(F.lit(seed), *parts, *nulls).alias(n) for n, seed in zip(names, (0, 0x5BD1E995))]
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each set of equal rows, in one pass."""
-    return df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n")).agg(
-        F.count(F.lit(1)).alias("_d"), F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows")
-    ).select("total_rows", (F.col("total_rows") - F.col("_d")).alias("duplicate_rows"))
+    """(total_rows, duplicate_rows): rows beyond the first of each set of equal rows.
+
+    Only the two hashes of a row are shuffled. Rows whose hashes occur again are then
+    compared whole, so the figure is exact; equal ones among them are folded within each
+    task first.
+    """
+    mark = "_h"
+    while any(c.lower().startswith(mark) for c in df.columns):
+        mark = "_" + mark
+    one, two = names = (f"{mark}1", f"{mark}2")
+    hashes = row_hashes(df, names)
+    repeats = F.col("n") > 1
+    groups = materialize(
+        df.select(*hashes).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+        # All single rows become one, with null hashes.
+        .groupBy(F.when(repeats, F.col(one)).alias(one), F.when(repeats, F.col(two)).alias(two)).agg(F.sum("n").alias("n"))
+    )
+    again = broadcast_if_small(groups.filter(F.col(one).isNotNull()).select(*names))
+    whole = df.select("*", *hashes).join(again, list(names), "left_semi")
+    different = whole.groupBy(*[quoted(c) for c in df.columns]).agg(F.lit(1).alias("one")).agg(F.count(F.lit(1)).alias("kept"))
+    counted = groups.select("n", F.when(F.col(one).isNull(), F.col("n")).otherwise(F.lit(0)).alias("kept"))
+    both = counted.unionByName(different.select(F.lit(0).cast("long").alias("n"), "kept"))
+    return both.agg(F.sum("n").alias("total_rows"), F.sum("kept").alias("_d")).select(
+        "total_rows", (F.col("total_rows") - F.col("_d")).alias("duplicate_rows"))
 
 
 def quality_report(
     df: DataFrame, bounds: Mapping[str, tuple[float, float]] | None = None, duplicates: bool = True
 ) -> DataFrame:
-    """(metric, column, value) for rows, duplicates, nulls, empties and outliers from
-    one scan: equal rows are first folded together with their count, and every other
-    figure is weighed by that count. Without ``duplicates`` nothing is shuffled but
-    partial sums."""
-    columns = df.columns
-    weight = F.lit(1)
-    totals: list[tuple[str, str, Column]] = [("total_rows", "", F.count(F.lit(1)))]
-    if duplicates:
-        df = df.groupBy(*[quoted(c) for c in columns]).agg(F.count(F.lit(1)).alias("_copies"))
-        weight = F.col("_copies")
-        totals = [("total_rows", "", F.sum(weight)), ("duplicate_rows", "", F.sum(weight - 1))]
-    text = [n for n, t in df.dtypes if t == "string"]
-    return _single_pass(
+    """(metric, column, value) for rows, duplicates, nulls, empties and outliers.
+
+    All but duplicates come from one scan, which shuffles nothing but partial sums;
+    ``duplicates`` reads the rows again, see ``duplicate_rows``."""
+    report = _single_pass(
         df,
-        totals + _null_measures(columns, weight) + _empty_measures(text, weight)
-        + _outlier_measures(bounds or {}, weight),
+        [("total_rows", "", F.count(F.lit(1)))] + _null_measures(df.columns)
+        + _empty_measures(_text_columns(df)) + _outlier_measures(bounds or {}),
     )
+    if not duplicates:
+        return report
+    return report.unionByName(_rows(duplicate_rows(df), [("duplicate_rows", "", F.col("duplicate_rows"))]))
 
 
 def quality_by_window(df: DataFrame, ts: str, column: str, width: str = "1 hour") -> DataFrame:

@@ -25,8 +25,23 @@ def test_dedup_keeps_one_row_per_task_before_the_shuffle(spark):
 
 
 def test_report_is_one_scan(spark):
-    text = plan(quality.quality_report(Tables(spark, FOLDER).table("orders"), {"o_totalprice": (0, 1)}))
-    assert text.split("Initial Plan")[0].count("FileScan") == 1
+    text = plan(quality.quality_report(Tables(spark, FOLDER).table("orders"), {"o_totalprice": (0, 1)}, duplicates=False))
+    assert text.split("Initial Plan")[0].count("FileScan") == 1 and "hashpartitioning" not in text
+
+
+def test_duplicates_shuffle_hashes_and_compare_only_repeats(spark, monkeypatch):
+    written = []
+    keep = quality.materialize
+    monkeypatch.setattr(quality, "materialize", lambda df: written.append(plan(df)) or keep(df))
+    text = plan(quality.duplicate_rows(Tables(spark, FOLDER).table("orders")))
+    # What is counted: hashes alone. Each exchange is fed by an aggregate of its task.
+    assert len(written) == 1 and written[0].count("Exchange hashpartitioning") == 2
+    for step in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", written[0]):
+        assert all(re.match(r"(_h|when|if|CASE)?", c.strip()) and "o_" not in c for c in step.split(","))
+    counting = [line for line in written[0].splitlines() if "HashAggregate" in line]
+    assert counting and not any("o_comment" in line or "o_clerk" in line or "o_orderpriority" in line for line in counting)
+    # Whole rows: only behind the join with hashes that occur again.
+    assert "BroadcastHashJoin" in text and "LeftSemi" in text and "SortMergeJoin" not in text
 
 
 def test_counts_need_no_row_shuffle(spark):
