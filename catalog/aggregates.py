@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import Tables, cte, query
-from strata.operators import aggregates, features, places, summary
+from strata.operators import aggregates, features, places, sketches, summary
+from strata.plans.sizing import scratch_path
 
 FEATURED = "select *, precio / nullif(area_construida, 0) as precio_por_m2, coalesce(area_privada / nullif(area_construida, 0), 1.0) as ratio_area from v_listing"
 
@@ -132,3 +133,21 @@ def _(t: Tables):
 def _(t: Tables):
     """The first rows of an order are the feature."""
     return aggregates.first_n(t.view("v_listing").select("id_house", "url", "precio"), 25, F.desc("precio"), F.asc("id_house"))
+
+
+@query("agg_distinct_merged", cte("v_batch") + """
+select 'url' as "column", count(*) as rows, count(url) as filled, true as close from v_batch
+union all select 'event_id', count(*), count(event_id), true from v_batch
+union all select 'precio', count(*), count(precio), true from v_batch""")
+def _(t: Tables):
+    """Sketches of each batch are written, then only they are read; ``close`` says that the
+    estimate is within 3 % of the exact count."""
+    path, columns = scratch_path(t.spark, "sketches"), ["url", "event_id", "precio"]
+    rows = t.view("v_batch")
+    for batch in ("b1", "b2"):
+        sketches.write_sketches(rows.filter(F.col("batch_id") == batch), columns, path, batch)
+    merged = sketches.merged_distinct(sketches.read_sketches(t.spark, path))
+    exact = rows.agg(*[F.count_distinct(c).alias(c) for c in columns]).select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in columns])))
+    close = F.abs(F.col("distinct") - F.col("exact")) * 100 <= 3 * F.col("exact")
+    return merged.join(F.broadcast(exact), "column").select("column", "rows", "filled", close.alias("close"))
