@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas
-from strata.config import CATEGORICAL, DEFAULTS, TRIMMED, Settings
+from strata.config import CATEGORICAL, DEFAULTS, RAW_HEADER, TRIMMED, Settings
 from strata.functions import geo, json, text
 from strata.operators import places, projection
 from strata.operators.aggregates import distinct_stats, duplication_stats
@@ -59,6 +59,7 @@ class Bronze:
     path: str
     rows: DataFrame
     report: DataFrame
+    refused: DataFrame
 
 
 def bronze(
@@ -68,13 +69,17 @@ def bronze(
     """Listing files to a snapshot, and a quality report of what was written.
     ``location`` as for ``bronze_rows``.
 
-    Text is parsed once: the report reads the snapshot.
+    Records with too few or too many cells are no rows: they go to ``refused`` (file, reason,
+    record, batch_id), a table beside the snapshot. Text is parsed once: rows, refused and the
+    report read what was written.
     """
     batch = batch or run_id()
-    raw = files.read_listings_csv(spark, csv_path)
-    path = snapshots.write_snapshot(bronze_rows(raw, batch, location, settings), table, batch)
+    landed = materialize(bronze_rows(files.read_checked_csv(spark, csv_path), batch, location, settings))
+    path = snapshots.write_snapshot(landed.filter(F.col(files.CORRUPT).isNull()).drop(files.CORRUPT), table, batch)
     rows = snapshots.read_snapshot(spark, table, batch)
-    return Bronze(path, rows, quality_report(rows.select(*schemas.RAW_RENAMED.fieldNames()[:10])))
+    refused = files.refused_rows(landed, "source_file", RAW_HEADER[schemas.RAW.names[-1]]).withColumn("batch_id", F.lit(batch))
+    snapshots.write_snapshot(refused, f"{table}_refused", batch)
+    return Bronze(path, rows, quality_report(rows.select(*schemas.RAW_RENAMED.fieldNames()[:10])), snapshots.read_snapshot(spark, f"{table}_refused", batch))
 
 
 # --- dedup and merge --------------------------------------------------------------

@@ -25,6 +25,35 @@ def read_listings_csv(spark: SparkSession, path: str | list[str], schema: T.Stru
     )
 
 
+#: Column with the text of a raw record that does not fit the header.
+CORRUPT = "_corrupt_record"
+
+
+def read_checked_csv(
+    spark: SparkSession, path: str | list[str], schema: T.StructType = schemas.RAW, header: bool = True
+) -> DataFrame:
+    """``read_listings_csv`` with ``_corrupt_record``: the text of records that have too few
+    or too many cells, else null. Select all columns, or write the frame first: the reader
+    judges records by the cells that a query asks for."""
+    return (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+        .option("header", header).option("multiLine", True).option("escape", '"')
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        .csv(path)
+    )
+
+
+def refused_rows(checked: DataFrame, file: str, last: str) -> DataFrame:
+    """(file, reason, record) of the records that did not fit; ``file`` names the column with
+    the path of a row's file, ``last`` the last column of the header.
+
+    The reader fills cells from the left: with too few the last column is empty, with too
+    many it has a cell, as long as that is not an empty one.
+    """
+    reason = F.when(quoted(last).isNull(), "too few cells").otherwise("too many cells")
+    return checked.filter(F.col(CORRUPT).isNotNull()).select(quoted(file).alias("file"), reason.alias("reason"), F.col(CORRUPT).alias("record"))
+
+
 def read_quoted_csv(
     spark: SparkSession, path: str | list[str], schema: T.StructType = schemas.RAW, header: bool = True
 ) -> DataFrame:
