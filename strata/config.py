@@ -61,6 +61,9 @@ class Settings:
     location_order: str = "city/department"
     # Largest side that may be sent whole to every executor.
     broadcast_bytes: int = 64 * 1024 * 1024
+    # Bytes of raw JSON a task parses, and how few it is worth a task of its own for.
+    parse_bytes: int = 32 * 1024 * 1024
+    least_parse_bytes: int = 256 * 1024
     # Most distinct values one-hot encoding turns into columns of their own; beyond it,
     # ``one_hot_sparse`` has no bound.
     max_categories: int = 1_000

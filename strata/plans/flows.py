@@ -6,6 +6,7 @@ import traceback
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,9 +59,13 @@ def bronze_rows(raw: DataFrame, batch: str, location: str | None = None,
 class Bronze:
     path: str
     rows: DataFrame
-    report: DataFrame
     refused: DataFrame
 
+    @cached_property
+    def report(self) -> DataFrame:
+        """Quality of what was written, read back when it is asked for."""
+        return quality_report(self.rows.select(*schemas.RAW_RENAMED.fieldNames()[:10]))
+
 
 def bronze(
     spark: SparkSession, csv_path: str, table: str, batch: str | None = None,
@@ -79,7 +84,7 @@ def bronze(
     rows = snapshots.read_snapshot(spark, table, batch)
     refused = files.refused_rows(landed, "source_file", RAW_HEADER[schemas.RAW.names[-1]]).withColumn("batch_id", F.lit(batch))
     snapshots.write_snapshot(refused, f"{table}_refused", batch)
-    return Bronze(path, rows, quality_report(rows.select(*schemas.RAW_RENAMED.fieldNames()[:10])), snapshots.read_snapshot(spark, f"{table}_refused", batch))
+    return Bronze(path, rows, snapshots.read_snapshot(spark, f"{table}_refused", batch))
 
 
 # --- dedup and merge --------------------------------------------------------------
@@ -210,7 +215,24 @@ def silver_clean(df: DataFrame, counts: DataFrame, mode: str = "reference", sett
 class Silver:
     path: str
     rows: DataFrame
-    report: DataFrame
+    settings: Settings = DEFAULTS
+
+    @cached_property
+    def report(self) -> DataFrame:
+        """Quality of what was written, read back when it is asked for."""
+        bounds = {"precio": self.settings.price_bounds, "area_construida": self.settings.area_bounds}
+        plain = [n for n, t in self.rows.dtypes if n not in ("processing_timestamp", "batch_id") and not t.startswith(("array", "struct", "map"))]
+        return quality_report(self.rows.select(*plain), bounds)
+
+
+def spread(df: DataFrame, size: int, settings: Settings = DEFAULTS) -> DataFrame:
+    """Rows whose work outweighs their bytes, over all cores: adaptive execution sizes tasks
+    by bytes, and would parse a few megabytes of JSON in one. Frames with enough bytes for every
+    core are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if size >= cores * settings.parse_bytes:
+        return df
+    return df.repartition(max(1, min(4 * cores, size // settings.least_parse_bytes)))
 
 
 def silver(spark: SparkSession, listings: DataFrame, counts: DataFrame, table: str, batch: str | None = None,
@@ -218,14 +240,12 @@ def silver(spark: SparkSession, listings: DataFrame, counts: DataFrame, table: s
     """Keyed listings to a snapshot of clean rows, checked for their columns and for having
     rows, stamped with time and batch; the report is of what was written."""
     batch = batch or run_id()
-    require_valid(listings, ("url", "full_info", "item", "unidades", "lat_lon"), "silver input")
-    clean = silver_clean(listings, counts, mode, settings).withColumns(
+    landed, size = measured(listings)
+    require_valid(landed, ("url", "full_info", "item", "unidades", "lat_lon"), "silver input")
+    clean = silver_clean(spread(landed, size, settings), counts, mode, settings).withColumns(
         {"processing_timestamp": F.current_timestamp(), "batch_id": F.lit(batch)})
     path = snapshots.write_snapshot(clean, table, batch)
-    rows = snapshots.read_snapshot(spark, table, batch)
-    bounds = {"precio": settings.price_bounds, "area_construida": settings.area_bounds}
-    plain = [n for n, t in rows.dtypes if n not in ("processing_timestamp", "batch_id") and not t.startswith(("array", "struct", "map"))]
-    return Silver(path, rows, quality_report(rows.select(*plain), bounds))
+    return Silver(path, snapshots.read_snapshot(spark, table, batch), settings)
 
 
 # --- gold -------------------------------------------------------------------------

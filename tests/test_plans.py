@@ -7,7 +7,10 @@ import re
 from pyspark.sql import functions as F
 
 from catalog.base import Tables
+from catalog.flows import KEYED_ROWS
+from strata.config import DEFAULTS, Settings
 from strata.operators import aggregates, dedup, features, filters, places, quality, upsert
+from strata.plans import flows
 from strata.sources import snapshots
 
 FOLDER = "/root/testdata/sf0.001"
@@ -101,3 +104,19 @@ def test_no_python_outside_pages(spark):
     for name in ("dedup_latest", "join_poi_cell", "dq_report", "upsert_latest_wins", "feat_label_encode", "geo_hex_cell", "json_explode_outer"):
         text = plan(catalog.QUERIES[name](spark, FOLDER))
         assert "Python" not in text and "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_few_bytes_to_parse_are_spread_over_all_cores(spark):
+    df = spark.range(1000, numPartitions=2)
+    cores = spark.sparkContext.defaultParallelism
+    count = lambda size: flows.spread(df, size).rdd.getNumPartitions()
+    assert count(0) == 1 and count(600 * 1024) == 2 and count(100 << 20) == 4 * cores
+    assert flows.spread(df, cores * DEFAULTS.parse_bytes) is df
+
+
+def test_silver_is_written_by_many_tasks(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    rows = Tables(spark, FOLDER).sql(KEYED_ROWS).withColumn("unidades", F.lit("[]"))
+    done = flows.silver(spark, rows, spark.createDataFrame([], "hex_id string, hospital long, mall long, park long, school long"), path, "v1",
+                        settings=Settings(least_parse_bytes=10_000))
+    assert len(done.rows.inputFiles()) > 8
