@@ -18,6 +18,7 @@ from strata.config import ASK_MARKERS, NOT_AVAILABLE
 from strata.functions import geo, text
 from strata.functions.markup import Node, tree
 from strata.operators.places import bbox_midpoint
+from strata.plans.sizing import materialize
 
 # Where listing pages keep their data.
 SELECTORS = {
@@ -40,6 +41,7 @@ SELECTORS = {
 # Both occur in the class text of a card.
 CARD_WORDS = ("listingCard", "CO")
 UNIT_COLUMNS = ("area_construida", "area_privada", "tipo_inmueble", "hab_amb", "banos", "precio")
+PAGE_BLOCK = 50_000  # page numbers that one row is expanded to at once
 LINK = r"""<a\s[^>]*?href="([^"]*)"[^>]*>"""
 PAGE_ITEM = r"""<li[^>]*ant-pagination-item[^>]*>(?:\s*<[^>]+>)*\s*([0-9]+)\s*<"""
 H1 = r"(?is)<h1[^>]*>(.*?)</h1>"
@@ -235,11 +237,23 @@ def page_count(html: Column) -> Column:
     return F.array_max(F.transform(F.filter(items, text.numeric_text), lambda i: i.try_cast("int")))
 
 
-def crawl_frontier(pages: DataFrame, pattern: str = "%s/pagina%d") -> DataFrame:
+def crawl_frontier(pages: DataFrame, pattern: str = "%s/pagina%d", block: int = PAGE_BLOCK) -> DataFrame:
     """(page_id, page, url): one row per page of every index; one that shows no page
-    numbers has one page."""
-    counted = pages.select("page_id", "url", F.greatest(F.coalesce(page_count(F.col("html")), F.lit(1)), F.lit(1)).alias("_n"))
-    each = counted.select("page_id", "url", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("page"))
+    numbers has one page.
+
+    An index may claim billions of pages: its numbers are cut into blocks, and blocks are
+    dealt to all tasks before they become rows.
+    """
+    count = F.greatest(F.coalesce(page_count(F.col("html")), F.lit(1)), F.lit(1)).cast("long")
+    counted = materialize(pages.select("page_id", "url", count.alias("_n")))
+    longest, total = counted.agg(F.max("_n"), F.sum("_n")).first()
+    first, last = F.lit(1).cast("long"), F.col("_n")
+    if longest is not None and longest > block:
+        blocks = counted.select("page_id", "url", "_n", F.explode(F.expr(f"sequence(0L, (_n - 1) div {block})")).alias("_b"))
+        tasks = max(pages.sparkSession.sparkContext.defaultParallelism, total // (50 * block))
+        counted = blocks.repartition(min(tasks, 100_000))
+        first, last = F.col("_b") * block + 1, F.least(F.col("_n"), (F.col("_b") + 1) * block)
+    each = counted.select("page_id", "url", F.explode(F.sequence(first, last)).alias("page")).withColumn("page", F.col("page").cast("int"))
     return each.select("page_id", "page", F.format_string(pattern, "url", "page").alias("url"))
 
 

@@ -29,18 +29,20 @@ def read_listings_csv(spark: SparkSession, path: str | list[str], schema: T.Stru
 CORRUPT = "_corrupt_record"
 
 
+CHECKED = {"header": True, "multiLine": True, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
+def checked_schema(schema: T.StructType = schemas.RAW) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
 def read_checked_csv(
     spark: SparkSession, path: str | list[str], schema: T.StructType = schemas.RAW, header: bool = True
 ) -> DataFrame:
     """``read_listings_csv`` with ``_corrupt_record``: the text of records that have too few
     or too many cells, else null. Select all columns, or write the frame first: the reader
     judges records by the cells that a query asks for."""
-    return (
-        spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
-        .option("header", header).option("multiLine", True).option("escape", '"')
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
+    return spark.read.schema(checked_schema(schema)).options(**CHECKED | {"header": header}).csv(path)
 
 
 def refused_rows(checked: DataFrame, file: str, last: str) -> DataFrame:
