@@ -143,24 +143,21 @@ KEYED = "id_house long, fecha date, " + ", ".join(
 
 
 def merge_into_table(spark: SparkSession, batch: DataFrame, table: str, batch_id: str, strategy: str = "latest_wins",
-                     settings: Settings = DEFAULTS, mark: str | None = None) -> DataFrame:
+                     settings: Settings = DEFAULTS) -> DataFrame:
     """One batch into the table in partitions (department, city); only the partitions its
     rows are in, or were in, are written. The counts per action come back.
 
-    ``batch_id`` is lineage and says nothing about age: that is what ``fecha`` is for. Give
-    a ``mark`` where a batch may be sent again; a mark that was applied is not applied
-    twice.
+    ``batch_id`` is lineage and says nothing about age: that is what ``fecha`` is for. A batch
+    that is sent again leaves the table as it is.
     """
     require_valid(batch, ("url", "fecha"), "batch")
     by = settings.partition_columns
-    if mark is not None and partitioned.is_applied(spark, table, mark, by):
-        return merge_stats(spark.createDataFrame([], "_action string"))
     current = partitioned.read_current(spark, table, by)
     rows, _ = numbered(batch, spark.createDataFrame([], KEYED) if current is None else current, batch_id, settings)
     if current is None:
         rows = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(t).alias(c)
                              for c, t in spark.createDataFrame([], KEYED).dtypes])
-    return partitioned.upsert_partitions(spark, table, rows, mark, "url", by, "fecha", strategy)
+    return partitioned.upsert_partitions(spark, table, rows, "url", by, "fecha", strategy)
 
 
 # --- silver -----------------------------------------------------------------------

@@ -1,17 +1,13 @@
-"""A keyed table in partitions, of which an upsert rewrites only those it touches.
+"""A keyed Parquet table in partition folders, of which an upsert rewrites only those it
+touches, by dynamic partition overwrite.
 
-Data lie below ``data/v=<version>/<key>=<value>/…``. A version holds whole partitions,
-but only the ones its batch changed. The log says, per partition, which version is
-current and whether it has rows, and which batch the version came from. Readers join the
-files to the log on partition columns alone, so files of replaced versions are pruned,
-not read. A version counts once its log entry is written; a job that dies before leaves
-nothing readers see. One writer at a time is assumed.
+Folders are named by text columns ``p_<column>`` beside the columns they come from, so null,
+empty and number-like values come back as they were; which folder a row lies in means nothing
+more. Of a folder that lost all its rows a row stays that ``_live`` says is none.
 
-Versions are numbered by the table itself, in the order in which they were written, so
-what a batch is called says nothing about which rows are newer. A batch may carry a mark;
-a mark that is in the log is not applied again.
-
-Folder names cannot tell null from empty text, so partition values are stored encoded.
+One writer at a time is assumed. A batch that is sent again right after it was applied changes
+nothing. What is written lies in the shared folder first, so a job that dies while folders are
+exchanged is mended by running it again before the table is read.
 """
 
 from __future__ import annotations
@@ -19,119 +15,75 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.config import DEFAULTS
 from strata.operators.projection import quoted
 from strata.operators.upsert import merge_stats, upsert
-from strata.plans.sizing import broadcast_if_small, measured
-
-NULL, EMPTY, MARKED = "~null", "~empty", "~"
-
+from strata.plans.sizing import broadcast_if_small, materialize, measured
 
-def encoded(c: Column) -> Column:
-    """Never null or empty, and different for different values."""
-    text = c.cast("string")
-    return (F.when(text.isNull(), NULL).when(text == "", EMPTY)
-            .when(text.startswith(MARKED), F.concat(F.lit(MARKED), text)).otherwise(text))
+NO_VALUE = "-"
 
 
-def decoded(c: Column) -> Column:
-    return (F.when(c == EMPTY, "").when(c.startswith(MARKED * 2), F.substr(c, F.lit(2)))
-            .when(c != NULL, c))
+def _folders(by: Sequence[str]) -> list[str]:
+    return [f"p_{c}" for c in by]
 
 
-def _with_keys(df: DataFrame, by: Sequence[str], code) -> DataFrame:
-    return df.withColumns({c: code(quoted(c)) for c in by})
+def _placed(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """With the folder columns, which are never null or empty."""
+    text = {f: quoted(c).cast("string") for f, c in zip(_folders(by), by)}
+    return df.withColumns({f: F.when(t.isNull() | (t == ""), NO_VALUE).otherwise(t) for f, t in text.items()})
 
 
-def _log(spark: SparkSession, table: str, by: Sequence[str]) -> DataFrame | None:
-    """All entries, or None for a table not yet written; partition values are encoded."""
-    schema = ", ".join(f"`{c}` string" for c in by) + ", version long, live int, mark string"
+def _current(spark: SparkSession, table: str) -> DataFrame | None:
+    """All rows with their folder columns, or None for a table not yet written."""
     try:
-        return spark.read.schema(schema).json(f"{table}/_log/*")
+        found = spark.read.parquet(table).schema
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
-
-
-def _folder(table: str, version: int) -> str:
-    return f"{table}/data/v={version:012d}"
-
-
-def latest_version(spark: SparkSession, table: str, by: Sequence[str] = DEFAULTS.partition_columns) -> int | None:
-    """Number of the newest version."""
-    log = _log(spark, table, by)
-    return None if log is None else log.agg(F.max("version")).first()[0]
-
-
-def is_applied(spark: SparkSession, table: str, mark: str, by: Sequence[str] = DEFAULTS.partition_columns) -> bool:
-    log = _log(spark, table, by)
-    return log is not None and not log.filter(F.col("mark") == mark).isEmpty()
-
-
-def _current(spark: SparkSession, table: str, by: Sequence[str]) -> DataFrame | None:
-    """All rows as of the newest log entries, partition values encoded."""
-    log = _log(spark, table, by)
-    newest = latest_version(spark, table, by)
-    if newest is None:
-        return None
-    found = spark.read.parquet(_folder(table, newest)).schema
-    # Partition values are text, whatever they look like.
-    keys = [T.StructField(c, T.StringType()) for c in (*by, "v")]
-    schema = T.StructType([f for f in found.fields if f.name not in by] + keys)
-    data = spark.read.schema(schema).parquet(f"{table}/data")
-    # One row per partition: no more than the file index already keeps on the driver. The
-    # comparison, unlike a bare flag, makes Catalyst prune files by the join.
-    state = log.groupBy(*by).agg(F.max(F.struct("version", "live")).alias("e"))
-    current = state.select(*by, F.lpad(F.col("e.version").cast("string"), 12, "0").alias("v"), F.col("e.live").alias("live"))
-    return data.join(F.broadcast(current.filter("live > 0").drop("live")), [*by, "v"], "left_semi").drop("v", "_action")
+    # Folder names are text, whatever they look like.
+    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name.startswith("p_") else f for f in found.fields])
+    return spark.read.schema(schema).parquet(table).filter("_live").drop("_live")
 
 
 def read_current(spark: SparkSession, table: str, by: Sequence[str] = DEFAULTS.partition_columns) -> DataFrame | None:
     """All rows of the table."""
-    rows = _current(spark, table, by)
-    return None if rows is None else _with_keys(rows, by, decoded)
+    rows = _current(spark, table)
+    return None if rows is None else rows.drop(*_folders(by))
 
 
 def upsert_partitions(
-    spark: SparkSession, table: str, batch: DataFrame, mark: str | None = None, key: str = "url",
+    spark: SparkSession, table: str, batch: DataFrame, key: str = "url",
     by: Sequence[str] = DEFAULTS.partition_columns, order: str = "fecha", strategy: str = "latest_wins",
 ) -> DataFrame:
     """Apply a batch with one row per key; rows per action come back, where ``unchanged``
     counts neighbours in rewritten partitions.
 
     Touched are the partitions of the batch's rows and those where their keys are now,
-    since a row may move. Finding the latter reads the key column of the table. A mark
-    that is already in the log is not applied again; a batch without one always is.
+    since a row may move. Finding the latter reads the key column of the table.
     """
-    by = list(by)
-    if mark is not None and is_applied(spark, table, mark, by):
-        return merge_stats(batch.limit(0).withColumn("_action", F.lit("")))
-    current = _current(spark, table, by)
-    batch = _with_keys(batch, by, encoded)
+    folders = _folders(by)
+    current = _current(spark, table)
+    batch = _placed(batch, by)
     if current is None:
-        version, touched = 1, batch.select(*by).distinct()
-        rows = batch.withColumn("_action", F.lit("inserted"))
+        rows = materialize(batch.withColumn("_action", F.lit("inserted")))
+        out = rows.withColumn("_live", F.lit(True))
     else:
-        version = latest_version(spark, table, by) + 1
         batch, size = measured(batch)
         keys = batch.select(quoted(key))
         keys = F.broadcast(keys) if size <= DEFAULTS.broadcast_bytes else keys
-        here = current.select(key, *by).join(keys, key, "left_semi").select(*by)
-        touched = broadcast_if_small(batch.select(*by).union(here).distinct())
-        rows = upsert(current.join(touched, by, "left_semi"), batch, key, order, strategy)
-    path = _folder(table, version)
+        here = current.select(key, *folders).join(keys, key, "left_semi").select(*folders)
+        # One row per partition: no more than the file index already keeps on the driver.
+        touched = broadcast_if_small(batch.select(*folders).union(here).distinct())
+        merged = upsert(current.join(touched, folders, "left_semi"), batch, key, order, strategy)
+        rows = materialize(_placed(merged.drop(*folders), by))
+        left = touched.join(broadcast_if_small(rows.select(*folders).distinct()), folders, "left_anti")
+        out = rows.withColumn("_live", F.lit(True)).unionByName(left.withColumn("_live", F.lit(False)), allowMissingColumns=True)
     # Rebalancing splits a hot partition over several tasks and merges small ones.
-    rows.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
-    written = spark.read.schema(rows.schema).parquet(path)
-    filled = written.select(*by).distinct().withColumn("live", F.lit(1))
-    entry = touched.join(filled, by, "left").select(
-        *by, F.lit(version).cast("long").alias("version"), F.coalesce("live", F.lit(0)).alias("live"),
-        F.lit(mark).cast("string").alias("mark"),
-    )
-    entry.coalesce(1).write.mode("overwrite").json(f"{table}/_log/{version:012d}")
-    return merge_stats(written)
+    out.drop("_action").hint("rebalance", *folders).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(table)
+    return merge_stats(rows)

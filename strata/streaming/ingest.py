@@ -70,21 +70,18 @@ def first_per_key(stream: DataFrame, key: str, ts: str, delay: str = "1 hour") -
 
 def upsert_stream(
     stream: DataFrame, table: str, checkpoint: str, by: Sequence[str] = DEFAULTS.partition_columns,
-    key: str = "url", version: str = "fecha", strategy: str = "latest_wins", name: str | None = None,
+    key: str = "url", version: str = "fecha", strategy: str = "latest_wins",
 ) -> StreamingQuery:
     """Newest row per key of every micro-batch into a table in partitions; a micro-batch
     rewrites only those it touches. Keys are trimmed and unusable rows left out, as in a
     batch.
 
-    The mark of a micro-batch is the stream's name (its checkpoint folder, if none is
-    given) and its number, so a replayed one changes nothing, and another stream's first
-    one is not taken for it.
+    A micro-batch that is replayed finds its rows in the table and changes nothing.
     """
-    stream_name = name or checkpoint
 
     def apply(batch: DataFrame, number: int) -> None:
         rows = latest_per_key(flows.prepared(batch, key, version), key, version)
-        partitioned.upsert_partitions(batch.sparkSession, table, rows, f"{stream_name}#{number}", key, by, version, strategy)
+        partitioned.upsert_partitions(batch.sparkSession, table, rows, key, by, version, strategy)
 
     return (
         stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

@@ -29,9 +29,9 @@ def test_merges_into_table(spark, tmp_path):
     first = raw(spark, "2025-05-02", ["a", " b", "b"], "one")
     assert count(flows.merge_into_table(spark, first, table, "2025-05-02_00-00-00")) == {"inserted": 2}
     late = raw(spark, "01/05/2025", ["a"], "late").union(raw(spark, "2025-05-03", ["b", "c"], "two"))
-    assert count(flows.merge_into_table(spark, late, table, "2025-05-03_00-00-00", mark="m")) == {"refused": 1, "updated": 1, "inserted": 1}
-    # The same batch sent again is not applied twice.
-    assert count(flows.merge_into_table(spark, late, table, "2025-05-03_00-00-00", mark="m")) == {}
+    assert count(flows.merge_into_table(spark, late, table, "2025-05-03_00-00-00")) == {"refused": 1, "updated": 1, "inserted": 1}
+    # The same batch sent again adds nothing, and ids stay.
+    assert count(flows.merge_into_table(spark, late, table, "2025-05-03_00-00-00")) == {"refused": 1, "updated": 2}
     state = lambda: {r.url: (r.id_house, r.titulo) for r in partitioned.read_current(spark, table).collect()}
     assert state() == {"a": (1, "one"), "b": (2, "two"), "c": (3, "two")}
     # Another batch of the same second, and one of an older run: both count.
@@ -53,9 +53,9 @@ def test_rows_without_a_partition_stay(spark, tmp_path):
 def test_merge_keeps_files_of_other_partitions(spark, tmp_path):
     table = str(tmp_path / "t")
     flows.merge_into_table(spark, raw(spark, "2025-05-02", ["a"], "one").union(raw(spark, "2025-05-02", ["b"], "one").withColumn("city", F.lit("y"))), table, "1")
-    before = sorted((tmp_path / "t/data").rglob("city=y/*.parquet"))
+    before = sorted((tmp_path / "t").rglob("p_city=y/*.parquet"))
     flows.merge_into_table(spark, raw(spark, "2025-05-03", ["a", "n"], "two"), table, "2")
-    assert sorted((tmp_path / "t/data").rglob("city=y/*.parquet")) == before and len(before) == 1
+    assert sorted((tmp_path / "t").rglob("p_city=y/*.parquet")) == before and len(before) == 1
     assert partitioned.read_current(spark, table).count() == 3
 
 
@@ -106,17 +106,19 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_path):
 
     count = lambda df: {r.action: r["count"] for r in df.collect()}
     first = batch(("a", "1", "d", "007"), ("b", "1", "d", "x"), ("c", "1", "e", "y"), ("z", "1", "d", "x"))
-    assert count(partitioned.upsert_partitions(spark, table, first, "v1", by=by)) == {"inserted": 4}
+    assert count(partitioned.upsert_partitions(spark, table, first, by=by)) == {"inserted": 4}
+    files_of = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("p_department=e/**/*.parquet")}
+    before = files_of()
     # One row moves and leaves its partition empty, one is refused, one is new.
     second = batch(("a", "2", "d", "x"), ("b", "0", "d", "x"), ("n", "2", "f", "w"))
-    done = count(partitioned.upsert_partitions(spark, table, second, "v2", by=by))
+    done = count(partitioned.upsert_partitions(spark, table, second, by=by))
     assert done == {"updated": 1, "refused": 1, "inserted": 1, "unchanged": 1}
     expected = {("a", "2", "d", "x"), ("b", "1", "d", "x"), ("z", "1", "d", "x"), ("c", "1", "e", "y"), ("n", "2", "f", "w")}
-    assert state() == expected
-    assert sorted(p.name for p in (tmp_path / "t/data/v=000000000002").glob("d*")) == ["department=d", "department=f"]
-    assert partitioned.latest_version(spark, table, by) == 2
-    assert count(partitioned.upsert_partitions(spark, table, second, "v2", by=by)) == {} and state() == expected
-    assert "dynamicpruning" in partitioned.read_current(spark, table, by)._jdf.queryExecution().executedPlan().toString()
+    assert state() == expected and files_of() == before and before
+    # Sent again, and a row that comes back to the partition it had left empty.
+    assert count(partitioned.upsert_partitions(spark, table, second, by=by)) == {"updated": 2, "refused": 1, "unchanged": 1} and state() == expected
+    partitioned.upsert_partitions(spark, table, batch(("a", "3", "d", "007")), by=by)
+    assert state() == expected - {("a", "2", "d", "x")} | {("a", "3", "d", "007")}
 
 
 def test_bronze_takes_the_city_from_the_file(spark, tmp_path):
