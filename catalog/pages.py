@@ -181,17 +181,39 @@ def _located(t: Tables):
     return t.sql(cte("v_text") + REQUESTS), points
 
 
-@query("page_record", cte("v_text", "v_unit") + """
+# Units of an order as the text a record holds: objects of blocks, or JSON texts of table rows.
+# Every seventh page is empty, and keeps nothing but its card, its place and the error.
+@query("page_record", cte("v_text", "v_unit", "v_poi") + """, p as (
+ select id as page_id, lat, lon from v_poi union all select id, lat + 1, lon + 1 from v_poi),
+b as (select page_id, (min(lat) + max(lat)) / 2.0 as lat, (min(lon) + max(lon)) / 2.0 as lon from p group by page_id),
+u as (select l_orderkey, count(*) as units, string_agg(precio_txt, '|' order by l_linenumber, precio_txt, const_txt, tipo_txt) as precios,
+ string_agg(hab_txt, '|' order by l_linenumber, precio_txt, const_txt, tipo_txt) as habs from v_unit group by l_orderkey),
+r as (select *, o_orderkey % 7 = 0 as gone, coalesce(units, 0) as n from v_text left join u on o_orderkey = l_orderkey)
 select o_orderkey as page_id, '2025-05-01' as fecha, url, titulo,
  case when has_info = 1 then constructor else 'No disponible' end as constructor,
- concat('{"Estrato":"', estrato, '","Pisos":"', pisos, '"}') as item,
- case when has_info = 1 and o_orderkey not in (select l_orderkey from v_unit) then estado else '' end as sheet_estado,
- concat('Calle ', estrato) as direccion_principal, concat('Barrio ', estado) as direccion_asociadas,
- cast(null as varchar) as error from v_text""")
+ case when gone then '' else concat('{"Estrato":"', estrato, '","Pisos":"', pisos, '"}') end as item,
+ case when gone then null else n end as units, case when gone then null else precios end as precios, case when gone then null else habs end as habs,
+ not gone and n = 0 as has_sheet,
+ case when not gone and has_info = 1 and n = 0 then estado end as sheet_estado,
+ case when not gone and has_info = 1 and n = 0 and estado = 'F' then r.precio end as sheet_precio,
+ case when gone then '' else concat('Calle ', estrato) end as direccion_principal,
+ case when gone then '' else concat('Barrio ', estado) end as direccion_asociadas,
+ coalesce(b.lat, (cast(estrato as double) + 0.5 + (cast(estrato as double) + 0.75)) / 2.0) as lat, coalesce(b.lon, (-75.25 + -75) / 2.0) as lon,
+ case when gone then 'no content' end as error
+from r left join b on b.page_id = o_orderkey""")
 def _(t: Tables):
     cards = t.view("v_text").select("url", "titulo", F.when(F.col("has_info") == 1, F.col("constructor")).alias("constructor"))
     where = pages.page_location(*_located(t))
-    rows = pages.page_record(detail(t), cards, where, F.lit("2025-05-01"))
-    # The sheet is kept only where a page had no units.
-    sheet = F.coalesce(F.get_json_object("full_info", "$.Estado"), F.lit(""))
-    return rows.withColumn("sheet_estado", sheet).drop("full_info", "unidades", "lat_lon")
+    shown = detail(t).withColumn("html", F.when(F.col("page_id") % 7 != 0, F.col("html")))
+    rows = pages.page_record(shown, cards, where, F.lit("2025-05-01"))
+    # Blocks are objects, rows of a table JSON texts.
+    objects = F.from_json("unidades", "array<map<string, string>>")
+    texts = F.transform(F.from_json("unidades", "array<string>"), lambda x: F.from_json(x, "map<string, string>"))
+    units = F.when(F.col("unidades").startswith('["'), texts).otherwise(objects)
+    joined = lambda *keys: F.when(F.size("_u") > 0, F.array_join(F.transform("_u", lambda m: F.coalesce(*[m[k] for k in keys])), "|"))
+    point = lambda i: F.regexp_extract("lat_lon", r"\(([^,]+), ([^)]+)\)", i).cast("double")
+    return rows.withColumn("_u", units).select(
+        "page_id", "fecha", "url", "titulo", "constructor", "item", F.when(F.col("unidades") != "", F.size("_u")).cast("long").alias("units"),
+        joined("Precio", "precio").alias("precios"), joined("Hab/Amb", "hab_amb").alias("habs"), (F.col("full_info") != "").alias("has_sheet"),
+        F.get_json_object("full_info", "$.Estado").alias("sheet_estado"), F.get_json_object("full_info", "$.Precio").alias("sheet_precio"),
+        "direccion_principal", "direccion_asociadas", point(1).alias("lat"), point(2).alias("lon"), "error")

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from catalog.base import Tables, cte, query
 from strata import schemas
+from strata.config import TRIMMED
 from strata.functions import geo, json, text
 from strata.operators import places, projection
 
@@ -71,9 +72,18 @@ def _(t: Tables):
     return _raw(t, lat=geo.point_lat(F.col("lat_lon")), lon=geo.point_lon(F.col("lat_lon")))
 
 
-@query("fn_trim_all", cte("v_raw") + "select id_house, trim(url) as url, trim(area_txt) as area_txt from v_raw")
+# Every column that is trimmed, with blanks before, behind or both; one is all blanks.
+UNTRIMMED = cte("v_located") + """
+select o_orderkey, concat(' ', url) as url, concat(titulo, '  ') as titulo, concat(' ', constructor, ' ') as constructor,
+ concat('Calle  ', estrato, ' ') as direccion_principal, '   ' as direccion_asociadas, concat(' ', lat_lon) as lat_lon,
+ concat(' ', department, '  ') as department, concat(city, ' ') as city from v_located"""
+
+
+@query("fn_trim_all", cte("v_located") + """
+select o_orderkey, url, titulo, constructor, concat('Calle  ', estrato) as direccion_principal, '' as direccion_asociadas, lat_lon,
+ department, city from v_located""")
 def _(t: Tables):
-    return t.view("v_raw").withColumns(text.trimmed(["url", "area_txt"])).select("id_house", "url", "area_txt")
+    return t.sql(UNTRIMMED).withColumns(text.trimmed(TRIMMED))
 
 
 # The same day written as day/month/year, as a date, as a time and as no date at all.

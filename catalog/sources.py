@@ -211,10 +211,15 @@ def _(t: Tables):
     return snapshots.newest_batch(t.spark, path).select("url", "titulo", "event_id", "batch_id")
 
 
-@query("tier_inventory")
+INVENTORY = {"bronze": ("orders", "o_orderstatus"), "silver": ("events", "event_type"), "gold": ("nation", "n_regionkey")}
+
+
+@query("tier_inventory", "\nunion all ".join(
+    f"select '{tier}' as tier, count(distinct {by}) as files, true as has_bytes from {table}" for tier, (table, by) in INVENTORY.items()))
 def _(t: Tables):
+    """A file for each value of a column."""
     tiers = {}
-    for tier, table in (("bronze", "orders"), ("silver", "events"), ("gold", "pages")):
+    for tier, (table, by) in INVENTORY.items():
         tiers[tier] = scratch_path(t.spark, tier)
-        t.table(table).write.parquet(tiers[tier])
-    return files.tier_inventory(t.spark, tiers, "*.parquet").select("tier", (F.col("files") > 0).alias("filled"), (F.col("bytes") > 0).alias("has_bytes"))
+        t.table(table).repartition(by).write.partitionBy(by).parquet(tiers[tier])
+    return files.tier_inventory(t.spark, tiers, "*.parquet").select("tier", "files", (F.col("bytes") > 400 * F.col("files")).alias("has_bytes"))
