@@ -9,13 +9,15 @@ ones first; two sets with enough in common share a shingle among their first few
   The boundary is the size at which the sum of both costs is least. Large sets near enough
   to the boundary to have small partners enumerate subsets as well.
 * Equal sets are one set from the beginning; their documents are never paired.
-* Sets with the same most crowded key are compared in a block by counting along the
-  inverted lists of all their shingles, which finds most components at once. What later meets in
-  other lists is compared only where it is not yet in one component: first all with one
-  member of a list, then what is still apart.
+* Sets with the same most crowded key are compared in a block: by bitmaps first, which
+  leave few strangers, then by counting along the inverted lists of all shingles of the rest,
+  which finds most components at once. What later meets in other lists is compared only where
+  it is not yet in one component: first all with one member of a list, then what is still
+  apart, one part of a list against another.
 
 The order and the boundary decide cost only; whatever they are, no link is lost. Sets are
-of 64-bit hashes of words; links are decided by integer arithmetic on their sizes.
+of 64-bit hashes, of which all bits are compared; links are decided by integer arithmetic
+on their sizes.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import parts, small_batches, texts
 from strata.llm.words import groups, mix, shingle_sets
@@ -34,6 +37,7 @@ from strata.plans.sizing import broadcast_if_small, materialize
 FREQUENT = 1 << 18  # shingles whose frequency the order knows; a fixed bound
 COUNT_CHUNK = 1_000_000  # shingles counted at once within a task
 BLOCK = 1_500  # sets compared with each other in memory
+LIST_PART = 2_000  # postings of one list that meet others at once
 SEEN = 1_000_000  # set ids a task remembers
 SAMPLE = np.uint64(1023)  # one shingle in 1,024 (by hash) tells how long lists are
 STARS = 1
@@ -219,23 +223,6 @@ def _meeting(table: pa.Table, percent: int, long_key: int | None):
     return table.filter(pa.array(keep)).to_batches()
 
 
-_STORED = pa.schema([("set_id", _I64), ("n", _I64), ("home", _I64), ("block", _I64), ("bits", pa.binary()), ("tokens", pa.binary())])
-
-
-CELL = 5  # bytes of a shingle in a stored set: what tells apart the shingles of two sets
-
-
-def packed(s: np.ndarray) -> bytes:
-    return s.view(np.uint8).reshape(-1, 8)[:, :CELL].tobytes()
-
-
-def unpacked(raw) -> np.ndarray:
-    cells = np.frombuffer(raw, np.uint8).reshape(-1, CELL)
-    out = np.zeros((len(cells), 8), np.uint8)
-    out[:, :CELL] = cells
-    return out.view(np.uint64).ravel()
-
-
 def bitmap(s: np.ndarray) -> np.ndarray:
     """Bytes of a bitmap with a bit for every shingle; some three bits or more for each."""
     size = 1 << max(6, int(3 * len(s)).bit_length())
@@ -253,23 +240,80 @@ def most_shared(a: np.ndarray, n: int, b: np.ndarray, m: int) -> int:
     return min(n - int(np.bitwise_count(a & ~b).sum()), m - int(np.bitwise_count(b & ~a).sum()))
 
 
-def stored_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """Sets that share some key: ``wanted`` names a document for each. A set comes twice
-    only if rows of one id have the same text; all that reads the table allows for it."""
+def of_sets(docs: DataFrame, wanted: DataFrame, k: int, name: str, form) -> DataFrame:
+    """``wanted`` (``set_id`` with a document for each, ``doc_id``, and whatever else), with
+    ``n`` and the bytes that ``form`` makes of the set. A set comes twice only if rows of one
+    id have the same text; all that reads the result allows for it."""
+    others = [c for c in wanted.columns if c != "doc_id"]
+    schema = T.StructType([*wanted.select(*others).schema, T.StructField("n", T.LongType()), T.StructField(name, T.BinaryType())])
+
     def run(batches):
         for batch in parts(batches):
-            cols = batch.to_pydict()
-            out = []
-            for at, part in groups(cols["text"]):
+            names = batch.column("set_id").to_pylist()
+            rows, sizes, made = [], [], []
+            for at, part in groups(batch.column("text").to_pylist()):
                 for i, s in enumerate(shingle_sets(part, k), at):
-                    if _set_id(s) == cols["set_id"][i]:
-                        out.append((cols["set_id"][i], len(s), cols["home"][i], cols["block"][i], bitmap(s).tobytes(), packed(s)))
-            if out:
-                yield _batch(_STORED, zip(*out))
+                    if _set_id(s) == names[i]:
+                        rows.append(i)
+                        sizes.append(len(s))
+                        made.append(form(s))
+            if rows:
+                kept = batch.select(others).take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(sizes, _I64), pa.array(made, pa.binary())], names=[*others, "n", name])
 
     rows = docs.join(broadcast_if_small(wanted), "doc_id")
-    return rows.select("text", "set_id", "home", "block").mapInArrow(
-        run, "set_id long, n long, home long, block long, bits binary, tokens binary")
+    return rows.select("text", *others).mapInArrow(run, schema)
+
+
+def bitmaps(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    return of_sets(docs, wanted, k, "bits", lambda s: bitmap(s).tobytes())
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """All 64 bits of every shingle: what decides."""
+    return of_sets(docs, wanted, k, "tokens", lambda s: s.tobytes())
+
+
+def may_link(sizes: list[int], bits: list[np.ndarray], percent: int) -> np.ndarray:
+    """Whether each set may be alike to another one, by sizes and bitmaps. Those found to
+    have a partner are not compared any further, so a group of copies takes one round."""
+    order = np.argsort(np.array(sizes), kind="stable")
+    n = np.array(sizes, np.int64)[order]
+    width = np.array([len(bits[i]) for i in order])
+    folded: dict[tuple[int, int], np.ndarray] = {}
+
+    def at_width(of: int, to: int) -> np.ndarray:
+        if (of, to) not in folded:
+            rows = np.stack([bits[i] for i in order[width == of]])
+            folded[of, to] = np.bitwise_or.reduce(rows.reshape(len(rows), -1, to), axis=1)
+        return folded[of, to]
+
+    # Widths never fall with sizes, so sets of one width are neighbours.
+    begin = {w: int(np.searchsorted(width, w)) for w in np.unique(width).tolist()}
+    end = {w: int(np.searchsorted(width, w, side="right")) for w in begin}
+    found = np.zeros(len(n), bool)
+    for i in range(len(n)):
+        if found[i]:
+            continue
+        low, high = np.searchsorted(n * 100, n[i] * percent), np.searchsorted(n * percent, n[i] * 100, side="right")
+        own = int(width[i])
+        for w in begin:
+            a, b = max(int(low), begin[w]), min(int(high), end[w])
+            if a >= b:
+                continue
+            to = min(w, own)
+            mine, theirs = at_width(own, to)[i - begin[own]], at_width(w, to)[a - begin[w]:b - begin[w]]
+            shared = np.minimum(n[i] - np.bitwise_count(mine & ~theirs).sum(axis=1, dtype=np.int64),
+                                n[a:b] - np.bitwise_count(theirs & ~mine).sum(axis=1, dtype=np.int64))
+            hit = (100 + percent) * shared >= percent * (n[i] + n[a:b])
+            if a <= i < b:
+                hit[i - a] = False
+            if hit.any():
+                found[a:b] |= hit
+                found[i] = True
+    out = np.zeros(len(n), bool)
+    out[order] = found
+    return out
 
 
 def block_components(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -305,42 +349,54 @@ def block_components(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return label
 
 
-_LABEL = pa.schema([("set_id", _I64), ("comp", _I64), ("home", _I64), ("block", _I64)])
-
+_NAMES = pa.schema([("set_id", _I64)])
+_LABEL = pa.schema([("set_id", _I64), ("comp", _I64)])
 
-def home_components(stored: DataFrame, percent: int) -> DataFrame:
-    """``set_id, comp, home, block`` for every stored set; blocks stream through a task one
-    after the other."""
-    def solve(rows):
-        names = [r[0] for r in rows]
-        label = block_components([unpacked(r[1]) for r in rows], percent) if len(rows) > 1 else np.zeros(1, int)
-        smallest: dict[int, int] = {}
-        for x, name in zip(label.tolist(), names):
-            smallest[x] = min(name, smallest.get(x, name))
-        return [(name, smallest[x], r[2], r[3]) for x, name, r in zip(label.tolist(), names, rows)]
 
+def _by_block(frame: DataFrame, column: str, schema: pa.Schema, solve, returns: str) -> DataFrame:
+    """``solve`` on the names and bytes of each block's sets; blocks stream through a task
+    one after the other."""
     def run(batches):
         held, current = [], None
         for batch in parts(batches):
             out = []
             c = batch.to_pydict()
-            for row in zip(c["set_id"], c["tokens"], c["home"], c["block"]):
-                if held and row[0] == held[-1][0]:
-                    continue  # the same set again
-                if row[2:] != current:
-                    if held:
+            for row in zip(c["set_id"], c["n"], c[column], c["home"], c["block"]):
+                if row[3:] != current:
+                    if len(held) > 1:
                         out += solve(held)
-                    held, current = [], row[2:]
+                    held, current = [], row[3:]
+                elif row[0] == held[-1][0]:
+                    continue  # the same set again
                 held.append(row)
             if out:
-                yield _batch(_LABEL, zip(*out))
-        if held:
-            yield _batch(_LABEL, zip(*solve(held)))
+                yield _batch(schema, zip(*out))
+        if len(held) > 1 and (out := solve(held)):
+            yield _batch(schema, zip(*out))
 
-    placed = stored.filter("home is not null").repartition("home", "block").sortWithinPartitions("home", "block", "set_id")
-    solved = placed.select("set_id", "tokens", "home", "block").mapInArrow(run, "set_id long, comp long, home long, block long")
-    alone = stored.filter("home is null").select("set_id", F.col("set_id").alias("comp"), "home", "block").distinct()
-    return solved.unionByName(alone)
+    placed = frame.filter("home is not null").repartition("home", "block").sortWithinPartitions("home", "block", "set_id")
+    return placed.select("set_id", "n", column, "home", "block").mapInArrow(run, returns)
+
+
+def home_components(docs: DataFrame, stored: DataFrame, of_set: DataFrame, k: int, percent: int) -> DataFrame:
+    """``set_id, comp, home, block`` for every stored set. Bitmaps first tell which sets of
+    a block may be alike to another one there; only these send their shingles."""
+    def candidates(rows):
+        maybe = may_link([r[1] for r in rows], [np.frombuffer(r[2], np.uint8) for r in rows], percent)
+        return [(r[0],) for r, m in zip(rows, maybe.tolist()) if m]
+
+    def solve(rows):
+        label = block_components([np.frombuffer(r[2], np.uint64) for r in rows], percent).tolist()
+        smallest: dict[int, int] = {}
+        for x, row in zip(label, rows):
+            smallest[x] = min(row[0], smallest.get(x, row[0]))
+        return [(row[0], smallest[x]) for x, row in zip(label, rows)]
+
+    sets = stored.select("set_id", "home", "block").distinct()
+    near = materialize(_by_block(stored, "bits", _NAMES, candidates, "set_id long"))
+    wanted = sets.join(broadcast_if_small(near.join(of_set, "set_id")), "set_id")
+    solved = _by_block(whole_sets(docs, wanted, k), "tokens", _LABEL, solve, "set_id long, comp long")
+    return sets.join(broadcast_if_small(solved), "set_id", "left").select("set_id", F.coalesce("comp", "set_id").alias("comp"), "home", "block")
 
 
 def _with_both(pairs: DataFrame, stored: DataFrame, column: str) -> DataFrame:
@@ -352,9 +408,10 @@ def _with_both(pairs: DataFrame, stored: DataFrame, column: str) -> DataFrame:
     return left.join(right, ["a", "b"]).select("a", "b", "_n", "_m", "_a", "_b")
 
 
-def linked_pairs(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
-    """``a, b`` of those pairs of sets that are alike enough. Bitmaps, a twentieth of the
-    sets' size, first rule out most that cannot be; the sets themselves decide."""
+def linked_pairs(docs: DataFrame, pairs: DataFrame, stored: DataFrame, of_set: DataFrame, k: int, percent: int) -> DataFrame:
+    """``a, b`` of those pairs of sets that are alike enough. Bitmaps, a fifteenth of the
+    sets' size, first rule out most that cannot be; the sets themselves decide, which are
+    made for what is left."""
     def chosen(batches, test):
         for batch in parts(batches, 500):
             c = batch.select(["_n", "_m"]).to_pydict()
@@ -365,12 +422,14 @@ def linked_pairs(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame
         return (100 + percent) * most_shared(np.frombuffer(x, np.uint8), n, np.frombuffer(y, np.uint8), m) >= percent * (n + m)
 
     def alike(n, m, x, y):
-        both = np.concatenate([unpacked(x), unpacked(y)])
+        both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
         both.sort(kind="stable")
         return (100 + percent) * int(np.count_nonzero(both[1:] == both[:-1])) >= percent * (n + m)
 
-    left = _with_both(pairs, stored, "bits").mapInArrow(lambda batches: chosen(batches, possible), "a long, b long")
-    return _with_both(left, stored, "tokens").mapInArrow(lambda batches: chosen(batches, alike), "a long, b long")
+    left = materialize(_with_both(pairs, stored, "bits").mapInArrow(lambda batches: chosen(batches, possible), "a long, b long").distinct())
+    ends = left.select(F.col("a").alias("set_id")).unionByName(left.select(F.col("b").alias("set_id"))).distinct()
+    sets = materialize(whole_sets(docs, ends.join(of_set, "set_id"), k))
+    return _with_both(left, sets, "tokens").mapInArrow(lambda batches: chosen(batches, alike), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -419,9 +478,64 @@ def _enough(percent: int):
     return (100 + percent) * F.least(n - i, m - j) >= percent * (n + m)
 
 
-def set_components(shared: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
+_PAIR = pa.schema([("a", _I64), ("b", _I64)])
+
+
+def list_pairs(marked: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of one list that are in different components, not yet compared, and by
+    their sizes and places can share enough. Long lists are cut into parts, and a group is
+    one part against another: no list is held whole, and a crowded key is many groups. Pairs
+    that cannot be alike are never made into rows."""
+    def met(rows: list[tuple]):
+        # set_id, n, at, comp, spot, side (0 in the first part, 1 in the second, or 2: one part)
+        name, n, at, comp, spot, side = (np.array(x, np.int64) for x in zip(*rows))
+        a, b, size = [], [], 0
+        for i in range(len(rows) - 1):
+            j = slice(i + 1, None)
+            ok = (comp[j] != comp[i]) & ((spot[j] != spot[i]) | (spot[j] == 0)) & ((side[j] != side[i]) | (side[j] == 2))
+            ok &= (100 + percent) * np.minimum(n[i] - at[i], n[j] - at[j]) >= percent * (n[i] + n[j])
+            other = name[j][ok]
+            if len(other):
+                a.append(np.minimum(other, name[i]))
+                b.append(np.maximum(other, name[i]))
+                size += len(other)
+            if size > 100_000:
+                yield _batch(_PAIR, [np.concatenate(a), np.concatenate(b)])
+                a, b, size = [], [], 0
+        if size:
+            yield _batch(_PAIR, [np.concatenate(a), np.concatenate(b)])
+
+    def run(batches):
+        held, current, waiting = [], None, []
+        for batch in batches:
+            c = batch.to_pydict()
+            for key, low, high, *row in zip(c["key"], c["low"], c["high"], c["set_id"], c["n"], c["at"], c["comp"], c["spot"], c["side"]):
+                if (key, low, high) != current:
+                    if len(held) > 1:
+                        waiting += met(held)
+                    held, current = [], (key, low, high)
+                held.append(row)
+                if len(waiting) > 1_000:
+                    yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
+                    waiting = []
+        if len(held) > 1:
+            waiting += met(held)
+        if waiting:
+            yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
+
+    size = marked.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / LIST_PART).alias("_parts"))
+    cut = marked.join(size, "key").withColumn("_own", F.pmod(F.xxhash64("set_id"), F.col("_parts")))
+    each = cut.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
+    side = F.when(F.col("_own") == F.col("_other"), 2).when(F.col("_own") < F.col("_other"), 0).otherwise(1)
+    sent = each.select("key", F.least("_own", "_other").alias("low"), F.greatest("_own", "_other").alias("high"), "set_id",
+                       F.col("n").cast("long").alias("n"), F.col("at").cast("long").alias("at"), "comp", F.coalesce("spot", F.lit(0)).alias("spot"), side.alias("side"))
+    placed = sent.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    return placed.mapInArrow(run, "a long, b long").distinct()
+
+
+def set_components(docs: DataFrame, shared: DataFrame, stored: DataFrame, of_set: DataFrame, k: int, percent: int) -> DataFrame:
     """``set_id, comp`` for every stored set."""
-    comps = materialize(home_components(stored, percent))
+    comps = materialize(home_components(docs, stored, of_set, k, percent))
     # Where a set was compared already: equal for the sets of one block, else null.
     spot = F.when(F.col("home").isNotNull(), F.xxhash64("home", "block"))
     lists = shared.select("key", "set_id", "n", "at")
@@ -430,14 +544,14 @@ def set_components(shared: DataFrame, stored: DataFrame, percent: int) -> DataFr
         live = marked.groupBy("key").agg(F.min(F.struct("comp", "set_id", "n", "at", "spot")).alias("c"), F.max("comp").alias("hi"))
         live = live.filter("c.comp < hi").select("key", "c")
         marked = materialize(marked.join(live if step < STARS else live.select("key"), "key"))
-        other = {"set_id": "a", "n": "n2", "at": "at2", "comp": "comp2", "spot": "spot2"}
         if step < STARS:
+            other = {"set_id": "a", "n": "n2", "at": "at2", "comp": "comp2", "spot": "spot2"}
             met = marked.select("*", *[F.col(f"c.{x}").alias(y) for x, y in other.items()]).filter("comp <> comp2")
+            tested = F.coalesce(F.col("spot") == F.col("spot2"), F.lit(False))
+            pairs = met.filter(~tested & _enough(percent)).select("a", F.col("set_id").alias("b")).distinct()
         else:
-            met = marked.join(marked.select("key", *[F.col(x).alias(y) for x, y in other.items()]), "key").filter("comp < comp2")
-        tested = F.coalesce(F.col("spot") == F.col("spot2"), F.lit(False))
-        pairs = met.filter(~tested & _enough(percent)).select("a", F.col("set_id").alias("b")).distinct()
-        links = materialize(linked_pairs(pairs, stored, percent))
+            pairs = list_pairs(marked, percent)
+        links = materialize(linked_pairs(docs, pairs, stored, of_set, k, percent))
         if not links.isEmpty():
             comps = _merged(comps, links)
         lists = marked.select("key", "set_id", "n", "at")
@@ -488,10 +602,9 @@ def _components_of(spark: SparkSession, docs: DataFrame, k: int, percent: int) -
     crowd = shared.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
     blocks = shared.select("key", "set_id").join(crowd, "key").groupBy("set_id").agg(F.max(F.struct("c", "key")).alias("h")).select(
         "set_id", F.when(F.col("h.c") > 2, F.col("h.key")).alias("home"), F.pmod(F.col("set_id"), F.ceil(F.col("h.c") / BLOCK)).alias("block"))
-    of_set = named.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    wanted = blocks.join(of_set, "set_id")
-    stored = materialize(stored_sets(docs, wanted, k))
-    comps = set_components(shared, stored, percent)
+    of_set = materialize(named.groupBy("set_id").agg(F.min("doc_id").alias("doc_id")))
+    stored = materialize(bitmaps(docs, blocks.join(of_set, "set_id"), k))
+    comps = set_components(docs, shared, stored, of_set, k, percent)
 
     # Smallest document of every component; a set that shares no key is alone.
     label = of_set.join(comps, "set_id", "left").select("set_id", "doc_id", F.coalesce("comp", "set_id").alias("comp"))

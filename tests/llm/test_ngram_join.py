@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 
 from strata.llm import ngram_join
@@ -129,3 +130,30 @@ def test_patterned_words_differ(spark):
     data = [(1, f"{x} {x} {x} z"), (2, f"{y} {y} {y} z"), (3, f"{x} {x} {x} z"), (4, x), (5, y)]
     got = rows_of(ngram_join.jaccard_components(spark.createDataFrame(data, "doc_id long, text string")))
     assert got == brute(data) and [r[2] for r in got] == [1, 2, 1, 4, 5]
+
+
+@pytest.mark.parametrize("percent", [30, 80, 85, 100])
+def test_bitmaps_rule_out_only_strangers(percent):
+    rng = np.random.default_rng(percent)
+    sets = []
+    for _ in range(12):
+        base = rng.integers(0, 1 << 63, int(rng.integers(1, 400)), dtype=np.uint64)
+        sets += [np.unique(np.concatenate([base[rng.random(len(base)) < share], base[:1]])) for share in rng.uniform(0.3, 1, int(rng.integers(1, 6)))]
+    sizes, bits = [len(s) for s in sets], [ngram_join.bitmap(s) for s in sets]
+    enough = lambda i, j, shared: (100 + percent) * shared >= percent * (sizes[i] + sizes[j])
+    others = lambda i: (j for j in range(len(sets)) if j != i)
+    got = ngram_join.may_link(sizes, bits, percent).tolist()
+    assert got == [any(enough(i, j, ngram_join.most_shared(bits[i], sizes[i], bits[j], sizes[j])) for j in others(i)) for i in range(len(sets))]
+    assert all(g for i, g in enumerate(got) if any(enough(i, j, len(np.intersect1d(sets[i], sets[j]))) for j in others(i)))
+
+
+@pytest.mark.parametrize("part", [2_000, 7])
+def test_pairs_of_a_crowded_list(spark, monkeypatch, part):
+    monkeypatch.setattr(ngram_join, "LIST_PART", part)
+    rng = random.Random(part)
+    rows = [(rng.choice([1, 1, 1, 2]), i, rng.randint(20, 60), rng.randint(0, 6), rng.randint(0, 150), rng.choice([None, 5, 6])) for i in range(200)]
+    df = spark.createDataFrame(rows, "key long, set_id long, n int, at int, comp long, spot long")
+    want = {(min(x[1], y[1]), max(x[1], y[1])) for i, x in enumerate(rows) for y in rows[:i]
+            if x[0] == y[0] and x[4] != y[4] and (x[5] is None or x[5] != y[5]) and 185 * min(x[2] - x[3], y[2] - y[3]) >= 85 * (x[2] + y[2])}
+    got = [tuple(r) for r in ngram_join.list_pairs(df, 85).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
