@@ -37,7 +37,7 @@ from strata.plans.sizing import broadcast_if_small, materialize
 FREQUENT = 1 << 18  # shingles whose frequency the order knows; a fixed bound
 COUNT_CHUNK = 1_000_000  # shingles counted at once within a task
 BLOCK = 1_500  # sets compared with each other in memory
-LIST_PART = 2_000  # postings of one list that meet others at once
+LIST_PART = 500  # postings of one list that meet others at once
 SEEN = 1_000_000  # set ids a task remembers
 SAMPLE = np.uint64(1023)  # one shingle in 1,024 (by hash) tells how long lists are
 STARS = 1
@@ -484,53 +484,52 @@ _PAIR = pa.schema([("a", _I64), ("b", _I64)])
 def list_pairs(marked: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` of one list that are in different components, not yet compared, and by
     their sizes and places can share enough. Long lists are cut into parts, and a group is
-    one part against another: no list is held whole, and a crowded key is many groups. Pairs
-    that cannot be alike are never made into rows."""
-    def met(rows: list[tuple]):
-        # set_id, n, at, comp, spot, side (0 in the first part, 1 in the second, or 2: one part)
-        name, n, at, comp, spot, side = (np.array(x, np.int64) for x in zip(*rows))
-        a, b, size = [], [], 0
-        for i in range(len(rows) - 1):
-            j = slice(i + 1, None)
-            ok = (comp[j] != comp[i]) & ((spot[j] != spot[i]) | (spot[j] == 0)) & ((side[j] != side[i]) | (side[j] == 2))
+    one part against another: no list is held whole, and a crowded key is many groups (two
+    groups with one hash only meet in vain). Pairs that cannot be alike are no rows."""
+    def met(table: pa.Table):
+        group, name, n, at, comp, spot, side = (table[c].to_numpy() for c in ("group", "set_id", "n", "at", "comp", "spot", "side"))
+        new = np.concatenate([[True], group[1:] != group[:-1]])
+        end = np.append(np.flatnonzero(new)[1:], len(group))[np.cumsum(new) - 1]
+        # Rows of a group that lie 1, 2, 3... apart, for all groups at once.
+        i, apart, held, size = np.arange(len(group)), 1, [], 0
+        while len(i := i[i + apart < end[i]]):
+            j = i + apart
+            ok = (comp[i] != comp[j]) & ((spot[i] != spot[j]) | (spot[i] == 0)) & ((side[i] != side[j]) | (side[i] == 2))
             ok &= (100 + percent) * np.minimum(n[i] - at[i], n[j] - at[j]) >= percent * (n[i] + n[j])
-            other = name[j][ok]
-            if len(other):
-                a.append(np.minimum(other, name[i]))
-                b.append(np.maximum(other, name[i]))
-                size += len(other)
+            x, y = name[i[ok]], name[j[ok]]
+            held.append((np.minimum(x, y), np.maximum(x, y)))
+            size += len(x)
             if size > 100_000:
-                yield _batch(_PAIR, [np.concatenate(a), np.concatenate(b)])
-                a, b, size = [], [], 0
+                yield _batch(_PAIR, map(np.concatenate, zip(*held)))
+                held, size = [], 0
+            apart += 1
         if size:
-            yield _batch(_PAIR, [np.concatenate(a), np.concatenate(b)])
+            yield _batch(_PAIR, map(np.concatenate, zip(*held)))
 
     def run(batches):
-        held, current, waiting = [], None, []
+        carry = None
         for batch in batches:
-            c = batch.to_pydict()
-            for key, low, high, *row in zip(c["key"], c["low"], c["high"], c["set_id"], c["n"], c["at"], c["comp"], c["spot"], c["side"]):
-                if (key, low, high) != current:
-                    if len(held) > 1:
-                        waiting += met(held)
-                    held, current = [], (key, low, high)
-                held.append(row)
-                if len(waiting) > 1_000:
-                    yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
-                    waiting = []
-        if len(held) > 1:
-            waiting += met(held)
-        if waiting:
-            yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            if carry is not None:
+                table = pa.concat_tables([carry, table])
+            group = table["group"].to_numpy()
+            last = len(group) - int(np.argmax(group[::-1] != group[-1])) if group[0] != group[-1] else 0  # this group may go on
+            if last:
+                yield from met(table.slice(0, last))
+            carry = table.slice(last)
+        if carry is not None:
+            yield from met(carry)
 
     size = marked.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / LIST_PART).alias("_parts"))
     cut = marked.join(size, "key").withColumn("_own", F.pmod(F.xxhash64("set_id"), F.col("_parts")))
     each = cut.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
     side = F.when(F.col("_own") == F.col("_other"), 2).when(F.col("_own") < F.col("_other"), 0).otherwise(1)
-    sent = each.select("key", F.least("_own", "_other").alias("low"), F.greatest("_own", "_other").alias("high"), "set_id",
-                       F.col("n").cast("long").alias("n"), F.col("at").cast("long").alias("at"), "comp", F.coalesce("spot", F.lit(0)).alias("spot"), side.alias("side"))
-    placed = sent.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return placed.mapInArrow(run, "a long, b long").distinct()
+    group = F.xxhash64("key", F.least("_own", "_other"), F.greatest("_own", "_other"))
+    sent = each.select(group.alias("group"), "set_id", F.col("n").cast("long").alias("n"), F.col("at").cast("long").alias("at"), "comp",
+                       F.coalesce("spot", F.lit(0)).alias("spot"), side.alias("side"))
+    return sent.repartition("group").sortWithinPartitions("group").mapInArrow(run, "a long, b long").distinct()
 
 
 def set_components(docs: DataFrame, shared: DataFrame, stored: DataFrame, of_set: DataFrame, k: int, percent: int) -> DataFrame:
