@@ -3,14 +3,15 @@
 Pages are a table (page_id, url, html), spread over tasks like any other. Flat things
 (links, page numbers, boxes) are read by JVM expressions; nested ones by one Arrow
 batch function that returns (key, value) pairs for Spark to explode, join and encode.
-What to look for is data: a dict of selectors handed to the job.
+What to look for is data: a dict of selectors handed to the job. Reading a page takes far
+longer than moving it, so pages are dealt to all tasks before they are read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +53,20 @@ CONTENT = (
     "direccion_principal string, direccion_asociadas string, error string"
 )
 CARDS = "array<struct<href string, title string, publisher string>>"
+_TEXT = pa.string()
+_PAIRS = pa.list_(pa.struct([("key", _TEXT), ("value", _TEXT)]))
+_CONTENT = pa.struct([
+    ("facts", _PAIRS), ("sheet", _PAIRS), ("units", pa.list_(_PAIRS)), ("table_units", pa.bool_()),
+    ("direccion_principal", _TEXT), ("direccion_asociadas", _TEXT), ("error", _TEXT),
+])
+_CARDS = pa.list_(pa.struct([("href", _TEXT), ("title", _TEXT), ("publisher", _TEXT)]))
+PART = 256  # pages whose elements and results are Python objects at once
+
+
+def dealt(pages: DataFrame) -> DataFrame:
+    """The same pages, dealt to as many tasks as there is work for, however few files or
+    partitions they come from. Pages of one id, or of none, go to different tasks."""
+    return pages.repartition(F.xxhash64("page_id", "html"))
 
 
 def _value(raw: str) -> str:
@@ -134,15 +149,23 @@ def _content(html: str | None, at: Mapping[str, str]) -> dict:
             part()
         except Exception as e:  # noqa: BLE001 - the other parts of the page are kept
             failed.append(f"{part.__name__}: {type(e).__name__}: {e}")
+    page.forget()
     return out | {"error": "; ".join(failed) or None}
 
 
+def _by_parts(html: pa.Array, read, returns: pa.DataType) -> pa.Array:
+    """What ``read`` makes of every page, as Python objects for a few pages at a time."""
+    starts = range(0, len(html), PART)
+    made = [pa.array([read(h) for h in html.slice(at, PART).to_pylist()], returns) for at in starts]
+    return pa.concat_arrays(made) if made else pa.array([], returns)
+
+
 def content_of(selectors: Mapping[str, str] = SELECTORS):
     """The batch function html -> struct of everything a listing page holds."""
 
-    @F.pandas_udf(CONTENT)
-    def page_content(html: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_content(h, selectors) for h in html])
+    @F.arrow_udf(CONTENT)
+    def page_content(html: pa.Array) -> pa.Array:
+        return _by_parts(html, lambda h: _content(h, selectors), _CONTENT)
 
     # So that no filter inferred from its result runs it a second time.
     return page_content.asNondeterministic()
@@ -167,11 +190,12 @@ def cards_of(selectors: Mapping[str, str] = SELECTORS):
                 "title": attrs.get("title"),
                 "publisher": publisher.whole_text() if publisher else NOT_AVAILABLE,
             })
+        page.forget()
         return out
 
-    @F.pandas_udf(CARDS)
-    def page_cards(html: pd.Series) -> pd.Series:
-        return html.map(cards)
+    @F.arrow_udf(CARDS)
+    def page_cards(html: pa.Array) -> pa.Array:
+        return _by_parts(html, cards, _CARDS)
 
     return page_cards.asNondeterministic()
 
@@ -185,7 +209,7 @@ def register(spark) -> None:
 def page_content(pages: DataFrame, selectors: Mapping[str, str] = SELECTORS) -> DataFrame:
     """(page_id, url, and the fields of CONTENT); a page without content stays, with
     its error."""
-    parsed = pages.select("page_id", "url", content_of(selectors)(F.col("html")).alias("_c"))
+    parsed = dealt(pages.select("page_id", "url", "html")).select("page_id", "url", content_of(selectors)(F.col("html")).alias("_c"))
     return parsed.select("page_id", "url", "_c.*")
 
 
@@ -221,7 +245,7 @@ def page_links(pages: DataFrame, base: str | None = None) -> DataFrame:
 
 def listing_cards(pages: DataFrame, base: str, selectors: Mapping[str, str] = SELECTORS) -> DataFrame:
     """(page_id, url, titulo, constructor) of every card on index pages."""
-    cards = pages.select("page_id", F.inline(cards_of(selectors)(F.col("html"))))
+    cards = dealt(pages.select("page_id", "html")).select("page_id", F.inline(cards_of(selectors)(F.col("html"))))
     return cards.select(
         "page_id",
         text.absolute_url(F.lit(base), F.col("href")).alias("url"),
