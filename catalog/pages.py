@@ -69,7 +69,7 @@ def _(t: Tables):
 
 @query("page_facts_sql", FACTS)
 def _(t: Tables):
-    detail(t).createOrReplaceTempView("detail_pages")
+    pages.dealt(detail(t)).createOrReplaceTempView("detail_pages")
     page_tables.register(t.spark)
     return t.spark.sql("""
         select page_id, f.* from detail_pages, lateral page_rows(html, 'facts') f

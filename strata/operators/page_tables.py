@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from strata.functions.markup import Node, tree
-from strata.operators.pages import SELECTORS, _facts, _sheet, _units, _value
+from strata.operators.pages import PART, SELECTORS, _facts, _sheet, _units, _value, dealt
 from strata.plans.sizing import broadcast_if_small
 
 FACT = T.StructType().add("part", T.StringType()).add("key", T.StringType()).add("value", T.StringType())
@@ -65,6 +65,7 @@ def _rows(html: str | None, part: str, at: Mapping[str, str]) -> Iterator[tuple]
     try:
         page = tree(html or "")
         found = _units(page, at) if part == "units" else (_facts if part == "facts" else _sheet)(page, at)
+        page.forget()
     except Exception:  # noqa: BLE001 - ``page_content`` tells the error of such a page
         return
     if part == "units":
@@ -132,9 +133,10 @@ class PageUnits:
 
 
 def register(spark: SparkSession) -> None:
-    """Make ``page_rows`` and ``page_units`` callable from SQL."""
-    spark.udtf.register("page_rows", F.udtf(PageRows, useArrow=True))
-    spark.udtf.register("page_units", F.udtf(PageUnits, useArrow=True))
+    """Make ``page_rows`` and ``page_units`` callable from SQL. They give few rows a page:
+    these travel in batches of many pages, where Arrow would make a batch for each page."""
+    spark.udtf.register("page_rows", F.udtf(PageRows, useArrow=False))
+    spark.udtf.register("page_units", F.udtf(PageUnits, useArrow=False))
 
 
 # --- Rules. ---
@@ -204,6 +206,7 @@ def apply_rules(html: str | None, rules: Iterable[Mapping]) -> list[tuple[str, s
                 found[rule["part"], key] = _value(value)
             elif rule["key"].startswith("="):
                 found.setdefault((rule["part"], key), None)
+    page.forget()
     return [(part, key, value) for (part, key), value in found.items()]
 
 
@@ -223,11 +226,14 @@ def page_facts_by_rules(pages: DataFrame, rules: DataFrame, page_set: Column) ->
     id_type = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(at, PART) for b in batches for at in range(0, b.num_rows, PART)):
             ids, sets, facts = [], [], []
-            for i, (html, name, ruled) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("html", "page_set", "_rules")))):
+            of_set: dict[str, list] = {}
+            for i, (html, name) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("html", "page_set")))):
+                if name not in of_set:
+                    of_set[name] = batch.column("_rules")[i].as_py()
                 try:
-                    found = [(*f, None) for f in apply_rules(html, ruled)]
+                    found = [(*f, None) for f in apply_rules(html, of_set[name])]
                 except Exception as e:  # noqa: BLE001 - a page that cannot be read is a row with its error
                     found = [(None, None, None, f"{type(e).__name__}: {e}")]
                 ids += [i] * len(found)
@@ -239,6 +245,6 @@ def page_facts_by_rules(pages: DataFrame, rules: DataFrame, page_set: Column) ->
                 names=["page_id", "page_set", "part", "key", "value", "error"])
 
     # Sets that are null have no rules.
-    placed = pages.select("page_id", "html", page_set.cast("string").alias("page_set"))
+    placed = dealt(pages.select("page_id", "html", page_set.cast("string").alias("page_set")))
     joined = placed.join(by_set, F.col("page_set") == F.col("_set")).select("page_id", "page_set", "html", "_rules")
     return joined.mapInArrow(run, f"page_id {id_type}, page_set string, part string, key string, value string, error string")
