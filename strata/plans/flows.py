@@ -232,6 +232,16 @@ def spread(df: DataFrame, size: int, settings: Settings = DEFAULTS) -> DataFrame
     return df.repartition(max(1, min(4 * cores, size // settings.least_parse_bytes)))
 
 
+def balanced(df: DataFrame, size: int, settings: Settings = DEFAULTS) -> DataFrame:
+    """Rows to parse, in tasks of like size. Many bytes may lie in few files, as the tasks that
+    wrote them were few, and a file of one row group is read by one task: they are dealt anew."""
+    few = spread(df, size, settings)
+    if few is not df:
+        return few
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(4 * cores, size // (4 * settings.parse_bytes)))
+
+
 def silver(spark: SparkSession, listings: DataFrame, counts: DataFrame, table: str, batch: str | None = None,
            mode: str = "reference", settings: Settings = DEFAULTS) -> Silver:
     """Keyed listings to a snapshot of clean rows, checked for their columns and for having
@@ -239,7 +249,7 @@ def silver(spark: SparkSession, listings: DataFrame, counts: DataFrame, table: s
     batch = batch or run_id()
     landed, size = measured(listings)
     require_valid(landed, ("url", "full_info", "item", "unidades", "lat_lon"), "silver input")
-    clean = silver_clean(spread(landed, size, settings), counts, mode, settings).withColumns(
+    clean = silver_clean(balanced(landed, size, settings), counts, mode, settings).withColumns(
         {"processing_timestamp": F.current_timestamp(), "batch_id": F.lit(batch)})
     path = snapshots.write_snapshot(clean, table, batch)
     return Silver(path, snapshots.read_snapshot(spark, table, batch), settings)

@@ -4,8 +4,10 @@ import random
 
 from pyspark.sql import functions as F
 
+from strata.config import Settings
 from strata.functions import markup
 from strata.operators import page_tables, pages
+from strata.plans import flows
 
 PAGE = '<ul class="ant-list-items"><li class="ant-list-item"><div class="ant-col">Pisos</div><div class="ant-col">3</div></li></ul>'
 PIECES = (
@@ -86,3 +88,14 @@ def test_results_of_the_table_functions_travel_in_batches_of_pages(spark):
     frame = spark.sql("select page_id, f.* from scale_pages, lateral page_rows(html, 'facts') f")
     assert "BatchEvalPythonUDTF" in frame._jdf.queryExecution().executedPlan().toString()
     assert frame.collect() == [(1, "facts", "Pisos", "3")]
+
+
+def test_rows_of_one_file_are_parsed_by_many_tasks_however_many_bytes(spark):
+    df = spark.range(1_000, numPartitions=1)
+    cores = spark.sparkContext.defaultParallelism
+    settings = Settings(parse_bytes=1_000)
+    dealt = flows.balanced(df, cores * settings.parse_bytes, settings)
+    assert dealt.rdd.getNumPartitions() == 4 * cores
+    assert flows.balanced(df, 400 * cores * settings.parse_bytes, settings).rdd.getNumPartitions() == 100 * cores
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1_000 and max(sizes) < 2 * 1_000 / (4 * cores) + 10
