@@ -137,17 +137,22 @@ def _tag(tag: Column) -> Column:
     return F.when(t != "", t)
 
 
-def identify(rows: DataFrame, model: TextModel, text: str = "text") -> DataFrame:
+def identify(rows: DataFrame, model: TextModel, text: str = "text", wide: bool = False) -> DataFrame:
     """Adds ``language`` (null if rejected), ``confidence`` to rows that have ``text``,
     ``host``, ``domain``, ``suffix`` and ``declared`` (each may be null), and takes these
-    away. A host is within its domain, a domain within its suffix."""
+    away. A host is within its domain, a domain within its suffix.
+
+    What the text model says is stored beside a row's other columns. Where these are
+    ``wide``, only what is counted is stored, and texts are scored a second time."""
     if not model.languages:
         return rows.drop("host", "domain", "suffix", "declared", text).withColumns(
             {"language": F.lit(None).cast("string"), "confidence": F.lit(0.0)})
     size = len(model.languages)
+    evidence = ["host", "domain", "suffix", "declared"]
     inner = F.slice("_ll", 1, size)
-    told = materialize(scored(rows, model, text).withColumn("_best", F.array_position(inner, F.array_max(inner)) - 1))
-    sure = told.filter("_letters > 0")
+    told = lambda frame: scored(frame, model, text).withColumn("_best", F.array_position(inner, F.array_max(inner)) - 1)
+    stored = materialize(told(rows.select(text, *evidence)).drop("_ll") if wide else told(rows))
+    sure = stored.filter("_letters > 0")
 
     total = sure.agg(F.count(F.lit(1)), *[F.count(F.when(F.col("_best") == i, 1)) for i in range(size)]).first()
     overall = [(n + 1.0) / (total[0] + size) for n in total[1:]]
@@ -167,7 +172,7 @@ def identify(rows: DataFrame, model: TextModel, text: str = "text") -> DataFrame
     tags = _counts(sure, "declared", size).select("declared", share("_tag"))
     endings = _counts(sure, "suffix", size).select("suffix", share("_end"))
 
-    joined = told
+    joined = told(rows) if wide else stored
     for side, key in ((host, "host"), (tags, "declared"), (endings, "suffix")):
         joined = joined.join(broadcast_if_small(side), key, "left")
     even = F.array(*[F.lit(1.0)] * size)
@@ -184,7 +189,7 @@ def identify(rows: DataFrame, model: TextModel, text: str = "text") -> DataFrame
     winner = F.get(names, (F.array_position("_log", best) - 1).cast("int"))
     joined = joined.withColumn("_winner", winner).withColumn("confidence", 1.0 / mass)
     accepted = (F.col("_letters") > 0) & (F.col("_winner") != OTHER) & (F.col("confidence") >= ACCEPT)
-    others = [c for c in rows.columns if c not in (text, "host", "domain", "suffix", "declared")]
+    others = [c for c in rows.columns if c not in (text, *evidence)]
     return joined.select(*others, F.when(accepted, F.col("_winner")).alias("language"), "confidence")
 
 
@@ -206,13 +211,13 @@ def identify_documents(documents: DataFrame) -> DataFrame:
 def accepted_documents(documents: DataFrame) -> DataFrame:
     """Rows of ``documents`` with an accepted language, all their columns, ``lang`` replaced
     by the language found. The text travels along with what is found out about it, so no
-    row has to be looked up again by its id."""
+    row has to be looked up again by its id; it is not stored on the way."""
     held = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(documents.columns)]
     rows = documents.select(*held, or_empty("text").alias("text"), F.col("source").cast("string").alias("host"),
                             F.lit(None).cast("string").alias("domain"), F.lit(None).cast("string").alias("suffix"), _tag(F.col("lang")).alias("declared"))
     model = train(rows.select("text", F.col("declared").alias("language")))
     with small_batches(documents.sparkSession):
-        found = identify(rows, model).filter("language is not null")
+        found = identify(rows, model, wide=True).filter("language is not null")
     return found.select(*[F.col("language" if c == "lang" else f"_c{i}").alias(c) for i, c in enumerate(documents.columns)])
 
 

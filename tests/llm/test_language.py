@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import language
 from strata.llm.queries import QUERIES
+from strata.plans.sizing import row_bytes
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -72,3 +73,25 @@ def test_odd_rows(spark):
     assert not any(r.accepted for r in language.identify_documents(df.withColumn("lang", F.lit(None).cast("string"))).collect())
     kept = language.accepted_documents(df)
     assert kept.columns == df.columns and {r.language for r in kept.collect()} <= {"x"}
+
+
+def test_texts_that_travel_along_are_not_stored(spark, monkeypatch):
+    stored, keep = [], language.materialize
+    monkeypatch.setattr(language, "materialize", lambda df: stored.append(keep(df)) or stored[-1])
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    assert language.accepted_documents(docs).count() >= 0.98 * docs.count()
+    size = lambda df: df.agg(F.sum(row_bytes(df))).first()[0]
+    assert stored and sum(map(size, stored)) < 0.1 * size(docs)
+
+
+def test_texts_scored_twice_are_judged_alike(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(300)
+    odd = [(-1, None, "en", "a"), (-1, "", "fr", None), (None, "the cat " * 9, None, None), (None, "the cat " * 9, None, None), (7, "12 34", "de", "src1")]
+    docs = docs.select("doc_id", "text", "lang", "source").unionByName(spark.createDataFrame(odd, "doc_id long, text string, lang string, source string"))
+    none = F.lit(None).cast("string")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("source").alias("host"), F.col("source").alias("domain"), none.alias("suffix"), F.col("lang").alias("declared"))
+    model = language.train(rows.select("text", F.col("declared").alias("language")))
+    once, twice = (language.identify(rows, model, wide=w) for w in (False, True))
+    assert once.columns == twice.columns
+    key = lambda r: str(tuple(r))
+    assert sorted(once.collect(), key=key) == sorted(twice.collect(), key=key)
